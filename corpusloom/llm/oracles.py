@@ -50,4 +50,8 @@ SELECT doc_id, {', '.join(f'len(x_{k})::BIGINT AS n_{k}' for k in list(_PII)[:4]
     sha256({both(base)}) AS base_sha256, {both(base + extra)} AS spans FROM s"""
 
 
-ORACLE_SQL = {"op6_personal_data": _pii()}
+_EXACT = """SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id, count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,
+    row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents"""
+
+ORACLE_SQL = {"op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}

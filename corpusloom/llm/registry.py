@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import oracles, pii
+from corpusloom.llm import exact, oracles, pii
 
 ORACLE_SQL = oracles.ORACLE_SQL
 
@@ -13,8 +13,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {f.__name__: f for f in (op6_personal_data,)}
+QUERIES = {f.__name__: f for f in (op5_exact_duplicates, op6_personal_data)}
