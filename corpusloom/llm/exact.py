@@ -13,9 +13,9 @@ What crosses the network is a few bytes a document plus one copy of each
 suspect text per partition.  A group of copies of any size sends one row per
 partition, so no task holds a group.
 
-Rows meet their bitmaps by position: the rows are one RDD that both passes
-read, and a per-partition count and checksum stop the job if a source should
-return other rows the second time.
+Rows meet their bitmaps by partition: both passes scan the same plan, whose
+partitions a table of files fixes, and a per-partition count and checksum stop
+the job if a source should deal its rows otherwise the second time.
 
 Cases: a null text is an empty text.  Equal rows (same id, same text) are rows
 of the group each; exactly one row with the largest id stays.  A null id counts
@@ -29,7 +29,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import golomb
@@ -46,17 +48,21 @@ def _fingerprint(digest: bytes) -> int:
 def _send(owners: int):
     width = -(-(1 << FINGERPRINT_BITS) // owners)
 
-    def send(part: int, rows: Iterator[Row]) -> Iterator[tuple]:
-        prints = np.fromiter((_fingerprint(hashlib.sha256((r[1] or "").encode()).digest()) for r in rows), dtype=np.uint64)
-        if not len(prints):
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        prints = [_fingerprint(hashlib.sha256((t or "").encode()).digest()) for batch in batches for t in batch.column(1).to_pylist()]
+        if not prints:
             return
+        prints = np.array(prints, dtype=np.uint64)
         own, counts = np.unique(prints, return_counts=True)
-        twice = golomb.encode(own[counts > 1], 0, 1 << FINGERPRINT_BITS)
         check = int(np.bitwise_xor.reduce(prints))
-        yield part, -1, len(prints), check, bytearray(twice)
+        out = [(-1, golomb.encode(own[counts > 1], 0, 1 << FINGERPRINT_BITS))]
         cuts = np.searchsorted(own, np.arange(owners + 1, dtype=np.uint64) * np.uint64(width))
         for owner in np.flatnonzero(np.diff(cuts)).tolist():
-            yield part, owner, len(prints), check, bytearray(golomb.encode(own[cuts[owner] : cuts[owner + 1]], owner * width, width))
+            out.append((owner, golomb.encode(own[cuts[owner] : cuts[owner + 1]], owner * width, width)))
+        n = len(out)
+        arrays = [pa.array([part] * n, pa.int32()), pa.array([o for o, _ in out], pa.int32()), pa.array([len(prints)] * n, pa.int32()), pa.array([check] * n, pa.int64()), pa.array([b for _, b in out], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["part", "owner", "n", "check", "blob"])
 
     return send
 
@@ -119,10 +125,9 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact")
-    rows = docs.select(F.col(key).cast("long"), F.col(text)).rdd
+    own = docs.select(F.col(key).cast("long"), F.col(text))
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = spark.createDataFrame(rows.mapPartitionsWithIndex(_send(owners)), "part int, owner int, n int, check long, blob binary", verifySchema=False)
-    sent = scratch.table(sent, "sent")
+    sent = scratch.table(own.mapInArrow(_send(owners), "part int, owner int, n int, check long, blob binary"), "sent")
     marked = sent.filter("owner >= 0").groupBy("owner").applyInPandas(_mark, "part int, owner int, bitmap binary")
     answers = (
         sent.join(marked, ["part", "owner"], "left")
@@ -130,6 +135,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         .applyInPandas(_suspects, "part int, n int, check long, suspects binary")
     )
     answers = scratch.table(answers, "answers")
+    rows = own.rdd
     marks = answers.rdd.map(lambda r: (r[0], (r[1], r[2], r[3]))).partitionBy(max(1, rows.getNumPartitions()), lambda part: part)
     more = marks.getNumPartitions() - rows.getNumPartitions()
     if more:  # a cluster may deal keys to more partitions than asked for; those stay empty
