@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact, oracles, pii
+from corpusloom.llm import exact, licences, oracles, pii, quality
+from corpusloom.session import shipped
 
 ORACLE_SQL = oracles.ORACLE_SQL
 
@@ -21,4 +22,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_duplicates, op6_personal_data)}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(_table(spark, sf_dir, "documents"))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents")).drop("matches")
+
+
+QUERIES = {f.__name__: shipped(f) for f in (op5_exact_duplicates, op6_personal_data, op9_quality, op10_licences)}
