@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact, licences, near, oracles, pii, quality
+from corpusloom.llm import exact, licences, mixing, near, oracles, packing, pii, quality
 from corpusloom.session import shipped
 
 ORACLE_SQL = oracles.ORACLE_SQL
@@ -18,6 +18,14 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -34,4 +42,4 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents")).drop("matches")
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op5_exact_duplicates, op6_personal_data, op9_quality, op10_licences)}
+QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op2_packing, op3_mixing, op5_exact_duplicates, op6_personal_data, op9_quality, op10_licences)}
