@@ -54,4 +54,12 @@ _EXACT = """SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS
     row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents"""
 
-ORACLE_SQL = {"op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}
+_WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+d AS (SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS keeper, row_number() OVER (PARTITION BY t ORDER BY page_id DESC) AS rn FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+    array_to_string(list_transform(generate_series(0, 31), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, (k // 4)::INT * 5 + 1, 5))::INT >> (15 - 5 * (k % 4))::INT) & 31), 1)), '') AS payload_digest,
+    CASE WHEN rn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN rn > 1 THEN keeper END AS refers_to
+FROM d"""
+
+ORACLE_SQL = {"op8_warc": _WARC, "op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}

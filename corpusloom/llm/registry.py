@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact, licences, mixing, near, oracles, packing, pii, quality
+from corpusloom.llm import exact, licences, mixing, near, oracles, packing, pii, quality, urls, warc
+from corpusloom.llm.store import Scratch
 from corpusloom.session import shipped
 
 ORACLE_SQL = oracles.ORACLE_SQL
@@ -26,6 +27,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.schedule(_table(spark, sf_dir, "documents"))
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "archives")
+    index = scratch.table(warc.write_archives(_table(spark, sf_dir, "pages"), scratch.at("warc")), "index")
+    return warc.read_records(index, scratch.at("warc")).drop("url")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(_table(spark, sf_dir, "documents"))
 
@@ -42,4 +53,4 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents")).drop("matches")
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op2_packing, op3_mixing, op5_exact_duplicates, op6_personal_data, op9_quality, op10_licences)}
+QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op2_packing, op3_mixing, op4_urls, op5_exact_duplicates, op6_personal_data, op8_warc, op9_quality, op10_licences)}
