@@ -62,4 +62,11 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
     CASE WHEN rn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN rn > 1 THEN keeper END AS refers_to
 FROM d"""
 
-ORACLE_SQL = {"op8_warc": _WARC, "op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}
+_TOP = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(generate_series(1, least(len(q.v), len(c.v))), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM e q JOIN e c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+ORACLE_SQL = {"op7_top_k": _TOP, "op8_warc": _WARC, "op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}

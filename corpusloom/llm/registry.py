@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import exact, licences, mixing, near, oracles, packing, pii, quality, urls, warc
+from corpusloom.llm import covertree, exact, licences, mixing, near, oracles, packing, pii, quality, urls, warc
 from corpusloom.llm.store import Scratch
 from corpusloom.session import shipped
 
@@ -39,6 +39,10 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.search_every(_table(spark, sf_dir, "embeddings"), 50)
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "archives")
     index = scratch.table(warc.write_archives(_table(spark, sf_dir, "pages"), scratch.at("warc")), "index")
@@ -53,4 +57,4 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(_table(spark, sf_dir, "documents")).drop("matches")
 
 
-QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op2_packing, op3_mixing, op4_urls, op5_exact_duplicates, op6_personal_data, op8_warc, op9_quality, op10_licences)}
+QUERIES = {f.__name__: shipped(f) for f in (op1_near_duplicates, op2_packing, op3_mixing, op4_urls, op5_exact_duplicates, op6_personal_data, op7_top_k, op8_warc, op9_quality, op10_licences)}
