@@ -226,7 +226,7 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5, chunk: int = CHUNK) -
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def searched(asked: DataFrame) -> DataFrame:
-        dealt = rows.unionByName(asked).repartition(max(parts, first[-1]), "block").sortWithinPartitions("block", "kind")
+        dealt = rows.unionByName(asked).repartition(max(parts, first[-1]), F.xxhash64("block")).sortWithinPartitions("block", "kind")
         return dealt.select("block", "kind", "id", "v", "floor").mapInArrow(_searching(k, width), out)
 
     home = blocks.filter("kind = 1").select("block", "kind", "id", "v", F.lit(float("-inf")).alias("floor"))

@@ -9,10 +9,11 @@ by its own minwise token there.  Because a path depends only on the class's own
 sketch, all paths of a class down to the first depth are written in one pass.
 
 Nodes with few classes are compared exhaustively.  In a larger node, classes are
-first compared with one pivot only; what is linked to it is one component, and
-no pair inside a component needs comparing.  Nodes that still hold several
-components branch further, and at the last depth all pairs of different
-components in a node are compared, so no node is left out.  Pairs are screened
+first compared with a few pivots only; what is linked is one component, and no
+pair inside a component needs comparing.  Classes still outside the largest
+node's component are compared with more of its members, and then with all that
+are not in their own component.  Nodes where many remain outside branch further
+first, and at the last depth nothing is left uncompared.  Pairs are screened
 by size and by 128 one-bit sketches, and every link is confirmed on the full
 sets.  ``recall`` sets the number of independent trees.
 
@@ -31,20 +32,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from corpusloom.llm.components import connected_components
-from corpusloom.llm.store import Scratch
+from corpusloom.llm.components import connected_components, merged
+from corpusloom.llm.store import Scratch, small_batches
 from corpusloom.llm.words import SPACED, Words, mix, word_batches
 
 COORDINATES = 128
 #: Classes of a node that are compared exhaustively.
-SMALL = 32
-#: Classes outside the pivot's component that are compared with a whole node before it branches further.
-FEW = 8
+SMALL = 12
+#: Classes of a node that the first depth aims at.
+LEAF = 32
+#: Pivots of a larger node, at first and for what those leave outside.
+PIVOTS, MORE_PIVOTS = 4, 16
+#: Classes outside the home component that are compared with a whole node before it branches further.
+FEW = 2000
 #: Levels below the first depth before all remaining pairs are compared.
-DEEPER = 5
+DEEPER = 4
 #: Share of pairs of unrelated classes that a level is expected to keep together, for the first depth.
-BACKGROUND = 0.08
+BACKGROUND = 0.05
 RECALL = 0.999999
 
 _u = np.uint64
@@ -194,7 +200,19 @@ def _screen(percent: int) -> Column:
     return sizes & (apart <= COORDINATES - _least_bits(percent / 100))
 
 
-def _side(entries: DataFrame, x: str, *more: str) -> DataFrame:
+def _with_paths(entries: DataFrame) -> DataFrame:
+    """Entries with all paths that hold their class."""
+    return entries.join(entries.groupBy("node").agg(F.collect_list("path").alias("paths")), "node")
+
+
+def _first_meeting() -> Column:
+    """Two classes meet in many paths of a dense group: only the least of them makes the pair."""
+    return F.array_min(F.array_intersect("pa", "pb")) == F.col("path")
+
+
+def _side(entries: DataFrame, x: str, *more: Column | str) -> DataFrame:
+    """One side of a pair join; a name in ``more`` takes the paths of the class."""
+    more = tuple(F.col("paths").alias(c) if isinstance(c, str) else c for c in more)
     return entries.select("path", *more, *[F.col(c).alias(f"{name}{x}") for c, name in (("node", ""), ("n", "n"), ("s", "s"), ("t", "t"))])
 
 
@@ -227,20 +245,51 @@ def _values(blob: bytes) -> np.ndarray:
     return wide.view(">u8").ravel().astype(np.uint64)
 
 
+def _are_linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
 def _confirm(percent: int):
+    """Pairs that carry both sets."""
+
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                one, two = _values(x.as_py()), _values(y.as_py())
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * common >= percent * (len(one) + len(two) - common))
-            mask = pa.array(keep, pa.bool_())
+            mask = pa.array([_are_linked(_values(x.as_py()), _values(y.as_py()), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     return confirm
 
 
+def _confirm_blocks(percent: int):
+    """Blocks of sets (kind 0) and the pairs among them (kind 1), sorted by block and kind. Pairs that other links of the block already join are skipped."""
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, sets, top = None, {}, {}
+
+        def find(x: int) -> int:
+            while top.get(x, x) != x:
+                top[x] = x = top.get(top[x], top[x])
+            return x
+
+        for batch in batches:
+            left, right = [], []
+            for own, kind, a, b, blob in zip(*[batch.column(i).to_pylist() for i in range(5)], strict=True):
+                if own != block:
+                    block, sets, top = own, {}, {}
+                if kind == 0:
+                    sets[a] = _values(blob)
+                    continue
+                x, y = find(a), find(b)
+                if x != y and _are_linked(sets[a], sets[b], percent):
+                    top[x] = y
+                    left.append(a)
+                    right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    return confirm
+
+
 #: Bits of the filter that keeps unneeded texts out of the shuffle; its size never grows.
 _FILTER_BITS = 1 << 23
 
@@ -268,58 +317,55 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     scratch = Scratch(docs.sparkSession, "near")
     kind = docs.schema[key].dataType.simpleString()
     similarity, second = percent / 100, _branching(percent / 100) - 1
-    signed = scratch.table(docs.select(key, text).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, n int, node long, sketch binary"), "signed")
+    with small_batches(scratch.spark, 1000):
+        signed = scratch.table(docs.select(key, text).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, n int, node long, sketch binary"), "signed")
     classes = scratch.table(
         signed.filter("n > 0").groupBy("node").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes"
     )
     joinable = classes.filter(F.col("sketch").isNotNull()).select("node", "n", "sketch")
-    depth = max(2, math.ceil(math.log(max(joinable.count(), SMALL + 1) / SMALL) / math.log(1 / BACKGROUND)))
-    trees = min(COORDINATES // 2, trees_for(depth + 1, similarity, recall))
+    depth = max(2, math.ceil(math.log(max(joinable.count(), LEAF + 1) / LEAF) / math.log(1 / BACKGROUND)))
+    trees = min(COORDINATES // 2, trees_for(depth, similarity, recall))
     entries = scratch.table(joinable.mapInArrow(_expand(depth, trees, second), _ENTRY), "entries")
 
-    tested, edges, labels = None, None, None
+    tested, labels = None, None
     for level in range(DEEPER + 1):
-        sizes = entries.groupBy("path").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).filter("size > 1")
-        held = entries.join(sizes, "path")
-        small, large = held.filter(F.col("size") <= SMALL), held.filter(F.col("size") > SMALL)
+        sizes = entries.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
+        held = scratch.table(entries.join(sizes, "path"), f"held-{level}")
+        scratch.drop("entries" if level == 0 else f"entries-{level}")
+        small, large = held.filter(F.col("size") <= SMALL), held.filter(F.col("size") > SMALL).drop("size")
+        differ = F.col("a") < F.col("b")
         if labels is None:
-            pairs = _pairs(_side(small, "a"), _side(small, "b"), percent, F.col("a") < F.col("b"))
-            large = scratch.table(large.select("path", "node", "n", "s", "t", "pivot"), "large-0")
-            star = _pairs(_side(large.filter("node = pivot"), "a"), _side(large, "b"), percent)
+            pairs = _pairs(_side(small, "a"), _side(small, "b"), percent, differ)
         else:
-            named = lambda x: _labelled(x, labels)
-            inside = named(small)
-            pairs = _pairs(_side(inside, "a", F.col("component").alias("ca")), _side(inside, "b", F.col("component").alias("cb")), percent, (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-            large = scratch.table(large.select("path", "node", "n", "s", "t", "pivot"), f"large-{level}")
-            star = _pairs(_side(large.filter("node = pivot"), "a"), _side(large, "b"), percent)
+            inside = _labelled(small, labels)
+            pairs = _pairs(_side(inside, "a", F.col("component").alias("ca")), _side(inside, "b", F.col("component").alias("cb")), percent, differ & (F.col("ca") != F.col("cb")))
+        star = _pairs(_side(_with_paths(_least(large, PIVOTS)), "a", "pa"), _side(_with_paths(large), "b", "pb"), percent, _first_meeting())
         pairs = pairs.unionByName(star).distinct()
-        if labels is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.table(pairs, f"pairs-{level}")
+        pairs = scratch.table(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{level}")
         if labels is None:
             needed = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
             needed = scratch.table(needed.join(classes.select("node", "id"), "node"), "needed")
             built = _only_needed(docs, key, text, needed.select(F.col("id").alias(key)).distinct()).mapInArrow(_sets(shingle), "node long, own binary")
-            sets = scratch.table(built.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-        tested, edges = _test(pairs, sets, tested, edges, percent, scratch, f"edges-{level}")
-        labels = connected_components(edges, scratch, f"components-{level}")
-        entries = _unsettled(large, labels, level)
-        if level < DEEPER:
-            few, many = entries.filter(F.col("outside") <= FEW), entries.filter(F.col("outside") > FEW)
-        else:
-            few, many = entries, None
-        few = scratch.table(few, f"few-{level}")
-        if not few.isEmpty():
-            # the pivot's component against the rest, and the rest among themselves
-            out = few.filter("component <> home")
-            across = _pairs(_side(out, "a", F.col("component").alias("ca")), _side(few, "b", F.col("component").alias("cb")), percent, F.col("ca") != F.col("cb"))
-            across = scratch.table(across.join(tested, ["a", "b"], "left_anti"), f"across-{level}")
-            tested, edges = _test(across, sets, tested, edges, percent, scratch, f"across-edges-{level}")
-            labels = connected_components(edges, scratch, f"across-components-{level}")
-        if many is None:
-            break
-        many = scratch.table(many.select("path", "node"), f"many-{level}")
-        if many.isEmpty():
+            with small_batches(scratch.spark, 1000):
+                sets = scratch.table(built.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+        links = _linked(pairs, sets, percent, scratch, f"links-{level}")
+        labels = connected_components(links, scratch, "components") if labels is None else merged(labels, links, scratch, f"components-{level}")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+
+        last = level == DEEPER
+        for step in ("pivots", "more", "all"):
+            entries = scratch.table(_unsettled(large, labels), f"unsettled-{step}-{level}")
+            open_ones = entries.filter(F.col("outside") <= FEW) if step == "all" and not last else entries
+            away = _side(_with_paths(open_ones.filter("component <> home")), "a", "pa", F.col("component").alias("ca"))
+            against = open_ones if step == "all" else _least(open_ones.filter("component = home"), MORE_PIVOTS, step)
+            more = _pairs(away, _side(_with_paths(against), "b", "pb", F.col("component").alias("cb")), percent, (F.col("ca") != F.col("cb")) & _first_meeting())
+            more = scratch.table(more.join(tested, ["a", "b"], "left_anti"), f"{step}-{level}")
+            if more.isEmpty():
+                continue
+            labels = merged(labels, _linked(more, sets, percent, scratch, f"{step}-links-{level}"), scratch, f"{step}-components-{level}")
+            tested = tested.unionByName(more)
+        many = entries.filter(F.col("outside") > FEW).select("path", "node")
+        if last or many.isEmpty():
             break
         grown = many.join(joinable, "node").select("node", "n", "sketch", "path")
         entries = scratch.table(grown.mapInArrow(_expand(1, 0, second), _ENTRY), f"entries-{level + 1}")
@@ -337,20 +383,45 @@ def _labelled(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _unsettled(large: DataFrame, labels: DataFrame, level: int) -> DataFrame:
-    """Entries of large nodes that hold several components, with the pivot's component and the number of entries outside it."""
-    named = _labelled(large, labels)
-    home = named.filter("node = pivot").select("path", F.col("component").alias("home"))
-    named = named.join(home, "path")
-    outside = named.groupBy("path").agg(F.count_if(F.col("component") != F.col("home")).alias("outside")).filter("outside > 0")
-    return named.join(outside, "path")
+def _least(entries: DataFrame, n: int, seed: str = "") -> DataFrame:
+    """``n`` classes of each path, the same ones in all paths that hold them."""
+    rank = F.row_number().over(Window.partitionBy("path").orderBy(F.xxhash64("node", F.lit(seed)), "node"))
+    return entries.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 
 
-def _test(pairs: DataFrame, sets: DataFrame, tested: DataFrame | None, edges: DataFrame | None, percent: int, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
-    """All pairs compared so far, and the links among them, with ``pairs`` confirmed on their full sets."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
-    links = scratch.table(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), name)
-    return pairs if tested is None else tested.unionByName(pairs), links if edges is None else edges.unionByName(links)
+def _unsettled(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of large nodes that hold several components, with the first class's component as home and the number of entries outside it."""
+    named = _labelled(large, labels)
+    home = named.groupBy("path").agg(F.min("component").alias("_one"), F.max("component").alias("_other")).filter("_one <> _other").select("path")
+    named = named.join(home, "path")
+    most = named.groupBy("path", "component").agg(F.count("*").alias("n")).groupBy("path").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
+    return named.join(most.select("path", F.col("top.component").alias("home"), (F.col("all") - F.col("top.n")).alias("outside")), "path")
+
+
+#: Bytes of sets that one task gathers to confirm the pairs among them.
+BLOCK_BYTES = 8 << 20
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Links among the pairs, confirmed on full sets; within a block, enough of them to join what all of them join.
+
+    Pairs hang together in groups.  A group whose sets fit in a block is sent to
+    one task, each set once; the pairs of larger groups carry their sets.
+    """
+    groups = connected_components(pairs, scratch, f"{name}-groups")
+    placed = sets.join(groups, "node")
+    small = placed.groupBy("component").agg(F.sum(F.octet_length("own")).alias("bytes")).filter(F.col("bytes") <= BLOCK_BYTES).select(F.col("component").alias("block"))
+    at = pairs.join(groups.withColumnRenamed("node", "a"), "a").withColumnRenamed("component", "block")
+    members = placed.withColumnRenamed("component", "block").join(small, "block").select("block", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "own")
+    inside = at.join(small, "block", "left_semi").select("block", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("own"))
+    parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    # a key of its own: a union whose sides are dealt by block already would not be dealt again
+    blocks = members.unionByName(inside).repartition(parts, F.xxhash64("block")).sortWithinPartitions("block", "kind")
+    links = blocks.mapInArrow(_confirm_blocks(percent), "a long, b long")
+    wide = at.join(small, "block", "left_anti").select("a", "b")
+    both = wide.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+    with small_batches(scratch.spark, 500):
+        return scratch.table(links.unionByName(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long")), name)
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:

@@ -7,8 +7,10 @@ a file again, never the work before it.  Each use has a folder of its own.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +27,18 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for what is written meanwhile: rows with long texts or sets stay within memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Scratch:
     """A folder of written tables, removed when the driver ends or on :meth:`drop`."""
 
