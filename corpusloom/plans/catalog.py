@@ -1,15 +1,472 @@
-"""All queries of the library proper and their DuckDB counterparts."""
+"""All queries of the library proper. Each runs over whole tables."""
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.functions import answers as A
+from corpusloom.functions import metrics as M
+from corpusloom.functions import templates as P
+from corpusloom.functions import text as T
+from corpusloom.operators import cluster, convert, dedup, dialog, filters, sampling, stats
+from corpusloom.plans.oracles import ORACLE_SQL  # noqa: F401
+from corpusloom.session import shipped
+from corpusloom.sources.readers import conversations_table
+
+QUERIES: dict = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = shipped(f)
+    return f
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/conversations.parquet")
+
+
+def _bench(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/benchmark.parquet")
+
+
+def _talks(spark: SparkSession, d: str) -> DataFrame:
+    return conversations_table(_turns(spark, d))
+
+
+@query
+def exact_dup_stats(spark, d):
+    """TXT1 DUP1 DUP2"""
+    hashes = dedup.duplicate_hashes(T.text_of("text"), F.lit(""), F.col("lang"))
+    own = _docs(spark, d).select(*[h.alias(n) for n, h in hashes.items()])
+    question = dedup.duplicate_stats(own, "question_hash").withColumn("by", F.lit("question"))
+    return question.unionByName(dedup.duplicate_stats(own, "qa_hash").withColumn("by", F.lit("qa")))
+
+
+@query
+def exact_dedup_keep_first(spark, d):
+    """TXT3 DUP4"""
+    return dedup.keep_first_question(_docs(spark, d), F.col("text"), "doc_id").select("doc_id", "source", "n_chars")
+
+
+@query
+def keep_first_prompt(spark, d):
+    """DUP5"""
+    return dedup.keep_first_prompt(_docs(spark, d), F.col("text"), "doc_id").select("doc_id")
+
+
+@query
+def dup_clusters_topk(spark, d):
+    """DUP3 ORD2"""
+    own = _docs(spark, d).withColumn("hash", dedup.identity(T.dup_normalised(F.col("text"))))
+    return dedup.top_clusters(own, "hash", "doc_id")
+
+
+def _train(spark, d):
+    """Documents, and benchmark rows changed in ways the normaliser undoes or only bends."""
+    bench = _bench(spark, d)
+    own = _docs(spark, d).select(F.col("doc_id").alias("id"), "text")
+    same = bench.select((F.col("item_id") + 10_000_000).alias("id"), F.concat(F.lit("  "), F.translate("text", ascii_lowercase, ascii_uppercase), F.lit("!?")).alias("text"))
+    bent = bench.select((F.col("item_id") + 20_000_000).alias("id"), F.concat("text", F.lit(" etc")).alias("text"))
+    return own.unionByName(same).unionByName(bent)
+
+
+@query
+def decontam_exact(spark, d):
+    """TXT2 DEC1 DEC3"""
+    return dedup.exact_contaminated(_train(spark, d), _bench(spark, d), "id", F.col("text"), F.col("text"))
+
+
+@query
+def decontam_jaccard(spark, d):
+    """TXT13 DEC2, verified"""
+    return dedup.approx_contaminated(_train(spark, d), _bench(spark, d), "id", "item_id", F.col("text"), F.col("text"), 5, 0.7, verified=True)
+
+
+@query
+def decontam_lsh(spark, d):
+    """DUP6 DEC2 by band collision alone"""
+    return dedup.approx_contaminated(_train(spark, d), _bench(spark, d), "id", "item_id", F.col("text"), F.col("text"))
+
+
+@query
+def decontam_report(spark, d):
+    """DEC1 to DEC4"""
+    flagged = dedup.contamination_flags(_train(spark, d), _bench(spark, d), "id", "item_id", F.col("text"), F.col("text"), verified=True)
+    return dedup.contamination_report(flagged)
+
+
+@query
+def decontam_containment(spark, d):
+    """Extension: share of an item's 5-grams within a document"""
+    found = dedup.containment(_docs(spark, d), _bench(spark, d), "doc_id", "item_id", F.col("text"), F.col("text"))
+    return found.filter("containment >= 0.7")
+
+
+@query
+def near_dup_pairs(spark, d):
+    """TXT12 DUP6 DUP7, verified"""
+    return dedup.near_pairs(_docs(spark, d), "doc_id", F.col("text"), 5, 0.9)
+
+
+@query
+def near_dup_components(spark, d):
+    """DUP7 DUP8 DUP9"""
+    return dedup.near_components(_docs(spark, d), "doc_id", F.col("text"), 3, 0.9)
+
+
+@query
+def components_of_copies(spark, d):
+    """DUP8 over a fixed edge set: each copy and the next one"""
+    own = _docs(spark, d).select("doc_id", dedup.identity(F.col("text")).alias("hash"))
+    chain = dedup.candidate_edges(own.select(F.lit(0).alias("band"), "hash", F.col("doc_id").alias("key")))
+    return dedup.components(chain)
+
+
+def _scored(spark, d):
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    human, gpt = F.substring("text", 1, 40), F.substring("text", 41, 1_000_000)
+    talk = F.array(convert.turn("human", human), convert.turn("gpt", gpt))
+    scores = {"deita_score": F.col("quality") * 6.0, "rw_score": 1.0 - 2.0 * F.col("toxic")}
+    return _docs(spark, d).join(labels, "doc_id", "left").withColumns(scores | {"conversations": talk})
+
+
+@query
+def score_filter(spark, d):
+    """FLT1 to FLT4 AGG6"""
+    own = _scored(spark, d)
+    return filters.judged(own, filters.score_rules(own, lang="en")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query
+def score_filter_report(spark, d):
+    """AGG5"""
+    own = _scored(spark, d)
+    return stats.kept_report(filters.judged(own, filters.score_rules(own)))
+
+
+@query
+def global_quality_filter(spark, d):
+    """FLT8 FLT9 MET9 AGG6, with Latin letters as the wanted script"""
+    own = _talks(spark, d)
+    asked, told = (F.coalesce(F.get(F.filter("conversations", lambda m: m["from"] == r), F.lit(0))["value"], F.lit("")) for r in ("human", "gpt"))  # noqa: B023
+    own = own.select("conv_id", F.size("conversations").alias("turns"), asked.alias("asked"), told.alias("told"))
+    latin = F.regexp_count(F.concat("asked", "told"), F.lit("[a-z]")) > F.length(F.concat("asked", "told")) * 0.5
+    return filters.judged(own, filters.global_rules(F.col("turns"), F.col("asked"), F.col("told"), script=latin)).select("conv_id", "reason")
+
+
+@query
+def reason_histogram(spark, d):
+    """AGG6 ORD3"""
+    own = _talks(spark, d)
+    return stats.reason_histogram(filters.judged(own, filters.conversation_rules(own)))
+
+
+@query
+def length_filter_quantiles(spark, d):
+    """TXT16 FLT10 AGG2"""
+    own = _turns(spark, d).select(T.token_length(F.col("text")).cast("long").alias("n")).filter("n BETWEEN 10 AND 2048")
+    return stats.index_quantiles(own, "n", {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99})
+
+
+@query
+def answer_metrics(spark, d):
+    """TXT9 to TXT11 MET1 to MET7"""
+    own = M.with_answer_metrics(_docs(spark, d), F.col("source"), F.col("text"))
+    return own.select("doc_id", "rep2", "rep3", "sent_rep", "empty_score", "kw_cov", "length", "uniq_ratio")
+
+
+@query
+def metric_distribution(spark, d):
+    """AGG1"""
+    own = _docs(spark, d).withColumns({"rep3": M.ngram_repetition(F.col("text"), 3), "uniq_ratio": M.unique_ratio(F.col("text"))})
+    return stats.distribution(own, ["rep3", "uniq_ratio", "n_chars"])
+
+
+@query
+def repetition_flags(spark, d):
+    """MET9 FLT19"""
+    own = M.with_answer_metrics(_docs(spark, d), F.lit(""), F.col("text"))
+    return filters.repetition_flags(own).select("doc_id", M.block_repeated(F.col("text")).alias("block_repeated"), "high_rep", "high_empty")
+
+
+@query
+def source_overlap(spark, d):
+    """TXT14 MET8 FLT7: each assistant turn against the user turn before it"""
+    pairs = dialog.prompt_prefixes(_turns(spark, d))
+    own = pairs.filter(F.size("history") > 0).select("conv_id", "turn", F.element_at("history", -1).alias("p"))
+    return own.select("conv_id", "turn", M.ngram_overlap(F.col("p.a"), F.col("p.q"), 3).alias("overlap"))
+
+
+@query
+def paragraphs(spark, d):
+    """TXT8 SRC10: documents with full stops as CJK ones"""
+    own = _docs(spark, d).select("doc_id", F.posexplode(T.paragraphs(F.replace("text", F.lit("."), F.lit("。")))).alias("number", "paragraph"))
+    return own.select("doc_id", F.col("number").cast("long").alias("number"), F.length("paragraph").cast("long").alias("length"))
+
+
+@query
+def sentences(spark, d):
+    """TXT10"""
+    parts = T.sentences(F.col("text"))
+    return _docs(spark, d).select("doc_id", F.size(parts).cast("long").alias("n_sentences"), F.coalesce(F.get(parts, F.lit(0)), F.lit("")).alias("first_sentence"))
+
+
+@query
+def newline_normalised(spark, d):
+    """TXT4"""
+    messy = F.concat(F.lit(" \r\n"), F.replace("text", F.lit(". "), F.lit(". \t\r\n\r\n\n")), F.lit("\n \n"))
+    return _docs(spark, d).select("doc_id", F.md5(T.newline_normalised(messy)).alias("hash"))
+
+
+@query
+def sliding_sft(spark, d):
+    """DLG1 to DLG6"""
+    return dialog.sliding_samples(_turns(spark, d), 2, 400, least_output=30).withColumn("turn_index", F.col("turn_index").cast("long"))
+
+
+@query
+def ppo_prefixes(spark, d):
+    """DLG7 FLT14"""
+    own = dialog.prompt_prefixes(_turns(spark, d))
+    return own.select("conv_id", "turn", F.size("history").cast("long").alias("n_history"), F.coalesce(F.get(F.transform("history", lambda p: p["q"]), F.lit(0)), F.lit("")).alias("first_q"), "question")
+
+
+@query
+def sft_dialog_repair(spark, d):
+    """DLG8 CNV10"""
+    own = _talks(spark, d).select("conv_id", dialog.repaired_pairs(F.col("conversations")).alias("pairs")).filter("pairs IS NOT NULL")
+    return own.select("conv_id", F.size("pairs").cast("long").alias("n_pairs"), F.md5(F.array_join(F.transform("pairs", lambda p: F.concat(p["q"], F.lit("\x1e"), p["a"])), "\x1f")).alias("hash"))
+
+
+@query
+def last_answer(spark, d):
+    """CNV12 CNV13"""
+    return convert.last_answer(_turns(spark, d))
+
+
+@query
+def render_templates(spark, d):
+    """TPL1 to TPL3 CNV19"""
+    pairs = F.array(F.struct(F.concat("lang", F.lit("?")).alias("q"), F.col("source").alias("a")), F.struct(F.col("source").alias("q"), F.lit("").alias("a")))
+    every = P.render_all(pairs)
+    return _docs(spark, d).select("lang", "source").distinct().select("lang", "source", F.explode(every).alias("template", "prompt"))
+
+
+@query
+def instruction_prompts(spark, d):
+    """TPL4 TPL5 TPL8"""
+    own = _docs(spark, d)
+    return own.select("doc_id", F.md5(P.instruction_prompt(F.col("text"), F.col("lang"))).alias("plain"), F.md5(P.instruction_chat(F.col("source"), F.col("text"), F.col("lang"))).alias("chat"))
+
+
+@query
+def alpaca_conversations(spark, d):
+    """CNV1 CNV2 SNK1"""
+    own = _docs(spark, d).select("doc_id", F.concat(F.lit(" "), "lang", F.lit("\n")).alias("instruction"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("input"), F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("output"))
+    out = convert.alpaca_to_conversations(own)
+    return out.select("doc_id", F.col("conversations")[0]["value"].alias("human"), F.md5(F.col("conversations")[1]["value"]).alias("gpt_hash"))
+
+
+@query
+def preference_shapes(spark, d):
+    """CNV3 to CNV9"""
+    own = _docs(spark, d).select(
+        F.col("doc_id").alias("row_id"), F.col("lang").alias("system_prompt"), F.col("source").alias("question"), F.when(F.col("doc_id") % 2 == 0, F.col("lang")).alias("chosen"), F.when(F.col("doc_id") % 3 == 0, F.lit("no")).alias("response_rejected"),
+        F.array(F.array(F.lit("a"), F.lit("b")), F.when(F.col("doc_id") % 5 == 0, F.array(F.lit("x"))).otherwise(F.array(F.lit("c"), F.lit("d")))).alias("history"),
+    )
+    ppo = convert.preference_to_prompts(own).select("row_id", F.lit("ppo").alias("shape"), F.size("conversations").cast("long").alias("turns"))
+    sft = convert.preference_to_sft(own).select("row_id", F.lit("sft").alias("shape"), F.size("conversations").cast("long").alias("turns"))
+    rm = convert.preference_pairs(own).select("row_id", F.lit("rm").alias("shape"), F.size("history").cast("long").alias("turns"))
+    dpo = convert.preference_to_dpo(own, rejected="response_rejected", strict=False).select("row_id", F.lit("dpo").alias("shape"), F.size("history").cast("long").alias("turns"))
+    return ppo.unionByName(sft).unionByName(rm).unionByName(dpo)
+
+
+@query
+def mixture_sample(spark, d):
+    """SMP1 SMP3"""
+    own = _docs(spark, d)
+    return sampling.mixture(own, "lang", {"en": 0.4, "fr": 0.3, "de": 0.3}, 300, 42, "doc_id").select("doc_id", "lang")
+
+
+@query
+def exact_split(spark, d):
+    """SMP4 SMP6"""
+    return sampling.exact_split(_docs(spark, d), 0.05, 42, "doc_id").select("doc_id", "split")
+
+
+@query
+def head_split(spark, d):
+    """SMP7 SMP8"""
+    return sampling.head_split(_docs(spark, d), 10, "doc_id").select("doc_id", "split")
+
+
+@query
+def random_and_hard(spark, d):
+    """SMP5 SMP9 SMP10 SMP12"""
+    return sampling.random_and_hard(_docs(spark, d), "n_chars", 20, 20, 200, 7, "doc_id").select("doc_id", "pick")
+
+
+@query
+def topic_pick(spark, d):
+    """SMP13"""
+    return _docs(spark, d).select("doc_id", sampling.pick(P.TOPICS, 3, "doc_id").alias("topic"))
+
+
+def _answers(spark, d):
+    """Texts around numbers and tags that the tables lack, one per document."""
+    i = F.col("doc_id")
+    shown = F.element_at(F.array(*[F.lit(x) for x in ("1,200", "2.5万亿", "增长5%，达到3万", "-5", ".7", "72万元", "no digits", "**1,200**#")]), (i % 8 + 1).cast("int"))
+    said = (
+        F.when(i % 5 == 0, F.concat(F.lit("<think>"), F.col("text"), F.lit("</think> "), shown)).when(i % 5 == 1, F.concat(F.lit("<think>"), F.col("text")))
+        .when(i % 5 == 2, F.lit("<think>short</think>")).when(i % 5 == 3, F.concat(F.lit("<answer>"), shown, F.lit("</answer>"))).otherwise(F.col("text"))
+    )
+    return _docs(spark, d).select("doc_id", shown.alias("shown"), said.alias("said"))
+
+
+@query
+def number_extract(spark, d):
+    """ANS1 ANS2"""
+    own = _answers(spark, d)
+    return own.select("doc_id", A.number(F.col("shown")).alias("value"), A.number_of_generated(F.col("shown")).alias("generated"))
+
+
+@query
+def reward_scores(spark, d):
+    """ANS7 RWD1 RWD3"""
+    own = _answers(spark, d)
+    return own.select("doc_id", A.format_reward(F.col("said")).alias("format_reward"), A.length_reward(F.col("said")).alias("length_reward"))
+
+
+@query
+def reward_totals(spark, d):
+    """ANS4 RWD2 RWD4"""
+    own = _answers(spark, d)
+    return own.select("doc_id", (F.col("doc_id") % 8).alias("prompt"), *[r.alias(n) for n, r in A.rewards(F.col("said"), F.col("shown")).items()])
+
+
+@query
+def reward_advantages(spark, d):
+    """RWD5"""
+    return reward_totals(spark, d).withColumn("advantage", stats.group_advantage("reward", "prompt")).select("doc_id", "advantage")
+
+
+@query
+def answer_matches(spark, d):
+    """ANS3 ANS5 ANS6 ANS8"""
+    own = _answers(spark, d)
+    said, shown = F.col("said"), F.col("shown")
+    return own.select("doc_id", A.tagged_answer(said).alias("tagged"), A.check_matches(A.tagged_answer(said), shown).alias("checked"), A.same_answer(A.without_thinking(said), shown).alias("same"), A.prediction_matches(said, shown).alias("predicted"))
+
+
+@query
+def mcq_extract(spark, d):
+    """ANS9 AGG8"""
+    i = F.col("doc_id")
+    letter = F.element_at(F.array(*map(F.lit, "ABCD")), (i % 4 + 1).cast("int"))
+    said = F.when(i % 3 == 0, F.concat(letter, F.lit("."))).when(i % 3 == 1, F.concat(F.lit("答案是"), letter)).otherwise(F.concat(F.lit("所以选择"), letter, F.lit("。")))
+    own = _docs(spark, d).select("doc_id", "lang", said.alias("said"), F.when(i % 7 != 0, letter).otherwise(F.lit("A")).alias("answer"))
+    chosen, guess = A.choice(F.col("said"), F.col("doc_id"))
+    return stats.choice_accuracy(own.withColumns({"predicted": chosen, "is_guess": guess}), "lang", "predicted", "answer")
+
+
+@query
+def pass_at_k(spark, d):
+    """AGG9"""
+    i = F.col("doc_id")
+    own = _docs(spark, d).select((i % 50).alias("prompt"), F.expr("doc_id div 50").alias("attempt"), (F.col("n_chars") % 17 == 0).alias("correct"), (F.col("n_chars") % 5 == 0).alias("formatted"))
+    return stats.pass_at_k(own, "prompt", "attempt", "correct", "formatted")
+
+
+@query
+def pairwise_accuracy(spark, d):
+    """AGG3 AGG4 AGG7"""
+    own = _docs(spark, d).select((F.col("n_chars") % 1000).cast("double").alias("chosen"), (F.col("doc_id") % 997).cast("double").alias("rejected"))
+    return stats.pairwise_accuracy(own, "chosen", "rejected")
+
+
+@query
+def reward_errors(spark, d):
+    """AGG14 AGG15"""
+    own = _docs(spark, d).select((F.col("n_chars") % 100 / 100.0).alias("p"), (F.col("doc_id") % 97 / 97.0).alias("t"))
+    both = stats.reward_errors(own, "p", "t").crossJoin(stats.pairwise_loss(own, "p", "t"))  # two single rows
+    return both.select(*[F.round(c, 9).alias(c) for c in ("mse", "mae", "loss")])
+
+
+@query
+def perplexity(spark, d):
+    """AGG11 AGG16"""
+    own = _docs(spark, d).select((F.col("n_chars") % 13 * 1.0).alias("nll"), (F.col("n_chars") % 7 + 1).alias("tokens"))
+    return stats.perplexity(own, "nll", "tokens").withColumn("perplexity", F.round("perplexity", 9))
+
+
+@query
+def calc_accuracy(spark, d):
+    """AGG10"""
+    own = _answers(spark, d)
+    return stats.accuracy(own.select(F.regexp_like("said", F.lit("[0-9]")).alias("correct")), "correct")
+
+
+def _vectors(spark, d):
+    return spark.read.parquet(f"{d}/embeddings.parquet").withColumn("cluster", F.when(F.col("vec_id") % 11 == 0, -1).otherwise(F.col("label")))
+
+
+@query
+def cluster_balance(spark, d):
+    """MET10 AGG12"""
+    return cluster.balance(_vectors(spark, d))
+
+
+@query
+def cluster_sizes(spark, d):
+    """AGG13 ORD1"""
+    return cluster.sizes(_vectors(spark, d))
+
+
+@query
+def cluster_representatives(spark, d):
+    """CLU5"""
+    return cluster.representatives(_vectors(spark, d), "vec_id", "embedding", "cluster").select("cluster", "rank", "vec_id")
+
+
+@query
+def cluster_keywords(spark, d):
+    """TXT15 CLU6"""
+    return cluster.keyword_labels(_docs(spark, d), "lang", "text")
+
+
+@query
+def kmeans_auto_k(spark, d):
+    """CLU3 CLU4 CLU8"""
+    rows, _ = cluster.auto_kmeans(_vectors(spark, d), "embedding", "vec_id", 5, 15)
+    return rows.groupBy("cluster").agg(F.count("*").alias("size"))
+
+
+@query
+def language_routes(spark, d):
+    """TXT17 TXT18 FLT20"""
+    mixed = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("中文内容" * 20), F.substring("text", 1, 100))).otherwise(F.col("text"))
+    own = _docs(spark, d).select("doc_id", mixed.alias("m"))
+    return own.select("doc_id", filters.language_route(F.col("m"), F.lit("")).alias("route"), T.cjk_share_over(F.col("m"), 0.15).alias("over"))
+
 
-def _dup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.agg(F.count("*").alias("total"))
+@query
+def contaminated_shapes(spark, d):
+    """CNV14 CNV15 CNV16 CNV17"""
+    own = _talks(spark, d)
+    _, asked, told = convert.source_and_qa(own)
+    q, a = convert.instruction_and_output(own)
+    return own.select("conv_id", F.md5(convert.contamination_text(own)).alias("asked_all"), F.md5(asked).alias("asked"), F.md5(told).alias("told"), F.md5(F.concat(F.coalesce(q, F.lit("-")), F.lit("|"), F.coalesce(a, F.lit("-")))).alias("qa"))
 
 
-QUERIES = {"exact_dup_stats": _dup_stats}
-ORACLE_SQL = {"exact_dup_stats": "SELECT count(*) AS total FROM documents"}
+@query
+def clean_turn_counts(spark, d):
+    """CNV10 CNV11"""
+    own = _talks(spark, d)
+    return own.select("conv_id", F.size(convert.clean_turns(own)).cast("long").alias("n_turns"))
