@@ -14,7 +14,8 @@ pair inside a component needs comparing.  Classes still outside the largest
 node's component are compared with more of its members, and then with all that
 are not in their own component.  Nodes where many remain outside branch further
 first, and at the last depth nothing is left uncompared.  Pairs are screened
-by size and by 128 one-bit sketches, and every link is confirmed on the full
+by size, by 128 one-bit sketches and, in larger nodes, by parities of hashed
+shingles, and every link is confirmed on the full
 sets.  ``recall`` sets the number of independent trees.
 
 Cases: a null or empty text (or one without words) has an empty set, 0
@@ -44,7 +45,9 @@ SMALL = 12
 #: Classes of a node that the first depth aims at.
 LEAF = 32
 #: Pivots of a larger node, at first and for what those leave outside.
-PIVOTS, MORE_PIVOTS = 4, 16
+PIVOTS, MORE_PIVOTS = 4, 64
+#: Rounds of further pivots, each with its own ones.
+ROUNDS = ("first", "second")
 #: Classes outside the home component that are compared with a whole node before it branches further.
 FEW = 2000
 #: Levels below the first depth before all remaining pairs are compared.
@@ -95,16 +98,23 @@ def _sketch(own: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parities(own: np.ndarray) -> list[int]:
+    """Whether an odd number of shingles falls on each of 1024 places, as 64-bit integers."""
+    counts = np.bincount((own & _u(1023)).astype(np.int64), minlength=1024)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64).tolist()
+
+
 def _sign(size: int, key: str):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, node, sketch = [], [], []
+            n, node, sketch, odd = [], [], [], []
             for words in word_batches(batch.column(1), SPACED):
                 for own in shingle_sets(words, size):
                     n.append(len(own))
                     node.append(_node(own))
                     sketch.append(_sketch(own).tobytes() if len(own) >= 4 else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(sketch, pa.binary())], [key, "n", "node", "sketch"])
+                    odd.append(_parities(own))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(sketch, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], [key, "n", "node", "sketch", "odd"])
 
     return sign
 
@@ -210,9 +220,16 @@ def _first_meeting() -> Column:
     return F.array_min(F.array_intersect("pa", "pb")) == F.col("path")
 
 
+def _little_apart(percent: int) -> Column:
+    """Places with different parities are at most as many as the shingles that only one set has, so no link is lost here."""
+    apart = F.aggregate(F.zip_with("oa", "ob", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return apart * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)
+
+
 def _side(entries: DataFrame, x: str, *more: Column | str) -> DataFrame:
     """One side of a pair join; a name in ``more`` takes the paths of the class."""
     more = tuple(F.col("paths").alias(c) if isinstance(c, str) else c for c in more)
+    more += (F.col("odd").alias(f"o{x}"),) if "odd" in entries.columns else ()
     return entries.select("path", *more, *[F.col(c).alias(f"{name}{x}") for c, name in (("node", ""), ("n", "n"), ("s", "s"), ("t", "t"))])
 
 
@@ -318,9 +335,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     kind = docs.schema[key].dataType.simpleString()
     similarity, second = percent / 100, _branching(percent / 100) - 1
     with small_batches(scratch.spark, 1000):
-        signed = scratch.table(docs.select(key, text).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, n int, node long, sketch binary"), "signed")
+        signed = scratch.table(docs.select(key, text).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, n int, node long, sketch binary, odd array<long>"), "signed")
     classes = scratch.table(
-        signed.filter("n > 0").groupBy("node").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "classes"
+        signed.filter("n > 0").groupBy("node").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd")), "classes"
     )
     joinable = classes.filter(F.col("sketch").isNotNull()).select("node", "n", "sketch")
     depth = max(2, math.ceil(math.log(max(joinable.count(), LEAF + 1) / LEAF) / math.log(1 / BACKGROUND)))
@@ -332,14 +349,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         sizes = entries.groupBy("path").agg(F.count("*").alias("size")).filter("size > 1")
         held = scratch.table(entries.join(sizes, "path"), f"held-{level}")
         scratch.drop("entries" if level == 0 else f"entries-{level}")
-        small, large = held.filter(F.col("size") <= SMALL), held.filter(F.col("size") > SMALL).drop("size")
+        small, large = held.filter(F.col("size") <= SMALL), held.filter(F.col("size") > SMALL).drop("size").join(classes.select("node", "odd"), "node")
         differ = F.col("a") < F.col("b")
         if labels is None:
             pairs = _pairs(_side(small, "a"), _side(small, "b"), percent, differ)
         else:
             inside = _labelled(small, labels)
             pairs = _pairs(_side(inside, "a", F.col("component").alias("ca")), _side(inside, "b", F.col("component").alias("cb")), percent, differ & (F.col("ca") != F.col("cb")))
-        star = _pairs(_side(_with_paths(_least(large, PIVOTS)), "a", "pa"), _side(_with_paths(large), "b", "pb"), percent, _first_meeting())
+        star = _pairs(_side(_with_paths(_least(large, PIVOTS)), "a", "pa"), _side(_with_paths(large), "b", "pb"), percent, _little_apart(percent) & _first_meeting())
         pairs = pairs.unionByName(star).distinct()
         pairs = scratch.table(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), f"pairs-{level}")
         if labels is None:
@@ -353,12 +370,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         tested = pairs if tested is None else tested.unionByName(pairs)
 
         last = level == DEEPER
-        for step in ("pivots", "more", "all"):
+        for step in (*ROUNDS, "all"):
             entries = scratch.table(_unsettled(large, labels), f"unsettled-{step}-{level}")
             open_ones = entries.filter(F.col("outside") <= FEW) if step == "all" and not last else entries
             away = _side(_with_paths(open_ones.filter("component <> home")), "a", "pa", F.col("component").alias("ca"))
             against = open_ones if step == "all" else _least(open_ones.filter("component = home"), MORE_PIVOTS, step)
-            more = _pairs(away, _side(_with_paths(against), "b", "pb", F.col("component").alias("cb")), percent, (F.col("ca") != F.col("cb")) & _first_meeting())
+            more = _pairs(away, _side(_with_paths(against), "b", "pb", F.col("component").alias("cb")), percent, (F.col("ca") != F.col("cb")) & _little_apart(percent) & _first_meeting())
             more = scratch.table(more.join(tested, ["a", "b"], "left_anti"), f"{step}-{level}")
             if more.isEmpty():
                 continue
