@@ -105,7 +105,7 @@ def schedule(docs: DataFrame, key: str = "doc_id", source: str = "source", weigh
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     narrow = docs.select(F.col(key), F.col(source))
-    sizes = {r[0]: r[1] for r in narrow.groupBy(source).count().collect()}  # a number per source
+    sizes = {r[0]: r[1] for r in narrow.groupBy(source).count().limit(resolution + 1).collect()}  # a number per source; more than a period holds raise below
     if weights is None:
         weights = smoothed(sizes, power)
     elif missing := [s for s in sizes if weights.get(s, 0) <= 0]:

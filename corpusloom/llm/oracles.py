@@ -69,4 +69,13 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(generate_se
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
-ORACLE_SQL = {"op7_top_k": _TOP, "op8_warc": _WARC, "op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}
+_NEAR = r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM d),
+e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+l AS MATERIALIZED (SELECT a, b FROM p WHERE 100 * c >= 80 * (na + nb - c)),
+both_ways AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS node, doc_id AS reached FROM s UNION SELECT r.node, both_ways.b FROM r JOIN both_ways ON r.reached = both_ways.a)
+SELECT s.doc_id, len(any_value(s))::BIGINT AS n_shingles, min(reached) AS component_id, s.doc_id = min(reached) AS kept FROM s JOIN r ON s.doc_id = r.node GROUP BY s.doc_id"""
+
+ORACLE_SQL = {"op1_near_duplicates": _NEAR, "op7_top_k": _TOP, "op8_warc": _WARC, "op5_exact_duplicates": _EXACT, "op6_personal_data": _pii()}
