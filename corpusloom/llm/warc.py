@@ -105,16 +105,16 @@ def _write(folder: str, level: int):
     return write
 
 
-def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", level: int = 1, archive_bytes: int = 256 << 20) -> DataFrame:
+def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url", html: str = "html", level: int = 1) -> DataFrame:
     """Writes all pages under ``folder`` and returns the index (lazily: records are written when it is)."""
     payload = F.coalesce(F.col(html), F.lit(""))
     marks = Scratch(pages.sparkSession, "warc").table(pages.select(F.col(key).cast("long").alias("page_id"), F.sha2(payload, 256).alias("sha"), F.octet_length(payload).alias("size")), "marks")
     groups = marks.groupBy("sha").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).filter("n > 1").select("sha", "keeper")
     roles = marks.join(groups, "sha").select(F.col("page_id").alias("_id"), F.col("sha").alias("_sha"), "keeper").distinct()
-    total = marks.agg(F.sum("size")).first()[0] or 0
-    parts = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // archive_bytes))
     own = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), F.sha2(payload, 256).alias("sha"))
-    dealt = own.repartition(parts, "page_id").join(roles, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left").sortWithinPartitions("page_id", "sha")
+    # a sort-merge join deals rows by id and payload, which also brings equal rows together: payloads are shuffled this once
+    same = F.col("page_id").eqNullSafe(F.col("_id")) & F.col("sha").eqNullSafe(F.col("_sha"))
+    dealt = own.join(roles.hint("merge"), same, "left").sortWithinPartitions("page_id", "sha")
     return dealt.select("page_id", "url", "html", "keeper", F.col("_sha").isNotNull().alias("shared")).mapInArrow(_write(folder, level), _INDEX)
 
 
