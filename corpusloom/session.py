@@ -16,7 +16,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 _shipped: set[str] = set()
@@ -32,9 +32,16 @@ def build(master: str = "local[*]", shuffle_partitions: int | None = None, **set
     return builder.getOrCreate()
 
 
+#: Rows of an Arrow batch at most: texts may be long, and a worker holds a few batches at a time.
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per application: Python code there imports it."""
+    """Sends this package to the executors, once per application: Python code there imports it. Larger Arrow batches than BATCH_ROWS are reduced to it."""
     context = spark.sparkContext
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
