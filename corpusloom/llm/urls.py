@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import Scratch
+
 # Rules as (rule, verdict).
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
@@ -67,7 +69,9 @@ def title_words(pages: DataFrame, html: str = "html", most: int = MAX_WORDS) ->
     """Counts of the words of all titles; the model keeps the ``most`` frequent."""
     title = F.lower(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(?i)<title[^>]*+>([^<]*+)", 1))
     words = pages.select(F.explode(F.regexp_extract_all(title, F.lit("[a-z]{2,20}"), 0)).alias("word"))
-    rows = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most).collect()
+    # written first, so that the executors and not the driver merge what each part holds
+    top = Scratch(pages.sparkSession, "urls").table(words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most), "words")
+    rows = top.collect()
     return {r["word"]: r["count"] for r in rows}
 
 
