@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
+from corpusloom.session import checkpointed
 
 
 def identity(x: Column) -> Column:
@@ -124,37 +125,30 @@ def banded(df: DataFrame, key: str, text: Column, n: int, threshold: float, perm
 
 
 def candidate_edges(bands: DataFrame) -> DataFrame:
-    """A chain through each bucket in key order: the same components as all its pairs, with one edge fewer than keys."""
-    by = Window.partitionBy("band", "hash").orderBy("key")
-    edges = bands.withColumn("b", F.lead("key").over(by)).filter("b IS NOT NULL")
-    return edges.select(F.col("key").alias("a"), "b").distinct()
+    """A star around the least key of each bucket: the same components as all its pairs, with one edge fewer than keys.
+
+    The least key is aggregated before the shuffle, so no task holds a bucket.
+    """
+    least = bands.groupBy("band", "hash").agg(F.min("key").alias("a"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    return bands.join(least, ["band", "hash"]).filter("key <> a").select("a", F.col("key").alias("b")).distinct()
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, component): least node reachable over ``edges`` (a, b). Labels travel along edges and jump to their label's
     label; each round is checkpointed to the shared folder, so lineage stays short and lost executors cost a reread."""
-    context = edges.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        _set_checkpoint_folder(context)
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")).checkpoint()
+    both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
     for _ in range(rounds):
         seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("seen"))
         near = labels.join(seen, labels["node"] == seen["a"], "left").select("node", "component", F.least("component", "seen").alias("least"))
         jump = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
-        step = near.join(jump, near["least"] == jump["_n"], "left").select("node", "component", F.least("least", F.coalesce("_c", "least")).alias("next")).checkpoint()
+        step = checkpointed(near.join(jump, near["least"] == jump["_n"], "left").select("node", "component", F.least("least", F.coalesce("_c", "least")).alias("next")))
         labels = step.select("node", F.col("next").alias("component"))
         if step.filter("next <> component").isEmpty():
             return labels
     raise RuntimeError("components did not settle")
 
 
-def _set_checkpoint_folder(context) -> None:
-    import tempfile
-
-    context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="corpusloom-checkpoint-"))
-
-
 def jaccard(a: Column, b: Column) -> Column:
     """Similarity of two arrays of distinct grams."""
     common = F.size(F.array_intersect(a, b))

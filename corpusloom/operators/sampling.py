@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.session import checkpointed
+
 
 def order_key(seed: object, *keys: str) -> list[Column]:
     """A shuffled order that any engine can reproduce: MD5 of seed and key, then the key."""
@@ -18,12 +20,13 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     """Adds the global rank, from 1, of each row.
 
     Rows are dealt by range; a part's ranks start after the counts of the parts
-    before it, one number per part, so no task holds all rows.
+    before it, one number per part, so no task holds all rows.  The dealt rows
+    are written in between: ranges are sampled, and both passes need the same.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     labels = [f"_o{i}" for i in range(len(order))]
     own = df.withColumns(dict(zip(labels, order, strict=True)))
-    dealt = own.repartitionByRange(parts, *labels).withColumn("_part", F.spark_partition_id())
+    dealt = checkpointed(own.repartitionByRange(parts, *labels).withColumn("_part", F.spark_partition_id()))
     counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))

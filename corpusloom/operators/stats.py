@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpusloom.operators.sampling import ranked
+
 
 def distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A row per metric: count, mean, linear-interpolated p50 to p95 and max."""
@@ -18,15 +20,12 @@ def distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def index_quantiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:
-    """One row: the value at sorted position ``int(n * q)`` for each named q.
-
-    Values are counted first, so what meets in the end is one row per distinct
-    value, with running counts instead of a sorted list of all rows.
-    """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_v")).agg(F.count("*").alias("_n"))
-    running = counts.select("_v", F.sum("_n").over(Window.orderBy("_v")).alias("_upto"), F.sum("_n").over(Window.partitionBy(F.lit(1))).alias("_all"))
-    picks = [F.min(F.when(F.col("_upto") > F.floor(F.col("_all") * F.lit(q)), F.col("_v"))).alias(name) for name, q in points.items()]
-    return running.agg(*picks)
+    """One row: the value at sorted position ``int(n * q)`` for each named q, null without values. Ranks are distributed; one row per point is left."""
+    own = df.select(F.col(column).alias("_v")).filter("_v IS NOT NULL")
+    n = own.count()
+    places = {name: int(n * q) + 1 for name, q in points.items()}
+    rows = ranked(own, [F.col("_v")]).filter(F.col("rank").isin(*places.values()))
+    return rows.agg(*[F.max(F.when(F.col("rank") == place, F.col("_v"))).alias(name) for name, place in places.items()])
 
 
 def kept_report(df: DataFrame, reason: str = "reason") -> DataFrame:

@@ -53,6 +53,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df``, written to the session's checkpoint folder (a temporary one only where none is named) and cut from its lineage."""
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="corpusloom-checkpoint-"))
+    return df.checkpoint()
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, with the package sent ahead of it."""
 
