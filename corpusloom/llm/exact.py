@@ -26,9 +26,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +37,9 @@ from pyspark.sql import functions as F
 from corpusloom.llm import golomb
 from corpusloom.llm.store import Scratch
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 #: Bits of a fingerprint. Fewer make shorter codes and more false suspects, which the comparison of texts clears.
 FINGERPRINT_BITS = 48
 
@@ -69,6 +72,8 @@ def _send(owners: int):
 
 def _mark(lists: pd.DataFrame) -> pd.DataFrame:
     """An owner's answer: for each list, a bitmap of the fingerprints that other lists hold too."""
+    import pandas as pd
+
     sent = [golomb.decode(bytes(b)) for b in lists["blob"]]
     own, counts = np.unique(np.concatenate(sent), return_counts=True)
     shared = own[counts > 1]
@@ -78,6 +83,8 @@ def _mark(lists: pd.DataFrame) -> pd.DataFrame:
 
 def _suspects(lists: pd.DataFrame) -> pd.DataFrame:
     """The fingerprints of one partition that are marked or stand in it twice."""
+    import pandas as pd
+
     found = [np.zeros(0, np.uint64)]
     for owner, blob, bitmap in zip(lists["owner"], lists["blob"], lists["bitmap"], strict=True):
         values = golomb.decode(bytes(blob))

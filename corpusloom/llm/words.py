@@ -20,7 +20,7 @@ import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: Byte values that end a word when words are separated by white space only.
 WHITESPACE = bytes([0x20, *range(0x09, 0x0E)])
