@@ -12,6 +12,7 @@ only, so one very long text simply makes one large batch.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -56,6 +57,15 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _trimmer():
+    """glibc's call that gives freed memory back, or nothing elsewhere: idle workers would keep it."""
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):
+        return lambda _: 0
+
+
+_trim = _trimmer()
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -134,3 +144,4 @@ def word_batches(column: pa.Array, table: np.ndarray, chunk: int = CHUNK_BYTES)
             code = np.zeros(0, np.uint64)
         yield Words(low, own, origin, start, end, code, np.searchsorted(start, origin))
         low = high
+    _trim(0)
