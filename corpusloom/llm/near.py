@@ -114,7 +114,7 @@ def _sign(size: int, key: str):
                     node.append(_node(own))
                     sketch.append(_sketch(own).tobytes() if len(own) >= 4 else None)
                     odd.append(_parities(own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(sketch, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], [key, "n", "node", "sketch", "odd"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int32()), pa.array(node, pa.int64()), pa.array(sketch, pa.binary()), pa.array(odd, pa.list_(pa.int64()))], [key, "sha", "n", "node", "sketch", "odd"])
 
     return sign
 
@@ -329,13 +329,19 @@ def _only_needed(docs: DataFrame, key: str, text: str, needed: DataFrame) -> Dat
     return sieved.join(needed.withColumnRenamed(key, "_needed"), F.col(key).eqNullSafe(F.col("_needed")), "left_semi").select(text)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
-    """One row per document: key, n_shingles, component_id (least id of its group) and kept (whether it is that document)."""
+def _sha(text: str) -> Column:
+    """Name of a text, by which its rows are found again; null texts have none."""
+    return F.unhex(F.sha1(F.col(text)))
+
+
+def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int, recall: float, named: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Signed documents (key, sha, n, node, ..), and the group of each class: node, component and component_id. sha is null unless ``named``."""
     scratch = Scratch(docs.sparkSession, "near")
     kind = docs.schema[key].dataType.simpleString()
     similarity, second = percent / 100, _branching(percent / 100) - 1
     with small_batches(scratch.spark, 1000):
-        signed = scratch.table(docs.select(key, text).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, n int, node long, sketch binary, odd array<long>"), "signed")
+        sha = _sha(text) if named else F.lit(None).cast("binary")
+        signed = scratch.table(docs.select(key, text, sha.alias("_sha")).mapInArrow(_sign(shingle, key), f"`{key}` {kind}, sha binary, n int, node long, sketch binary, odd array<long>"), "signed")
     classes = scratch.table(
         signed.filter("n > 0").groupBy("node").agg(F.min(key).alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd")), "classes"
     )
@@ -388,8 +394,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         entries = scratch.table(grown.mapInArrow(_expand(1, 0, second), _ENTRY), f"entries-{level + 1}")
 
     names = labels.join(classes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("component_id"))
-    named = labels.join(names, "component").select("node", "component_id")
-    own = classes.select("node", "id").join(named, "node", "left").select("node", F.coalesce("component_id", "id").alias("component_id"))
+    found = labels.join(names, "component").select("node", "component", "component_id")
+    own = classes.select("node", "id").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"), F.coalesce("component_id", "id").alias("component_id"))
+    return signed, own
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80, recall: float = RECALL) -> DataFrame:
+    """One row per document: key, n_shingles, component_id (least id of its group) and kept (whether it is that document)."""
+    signed, own = _grouped(docs, key, text, shingle, percent, recall)
     alone = signed.filter("n = 0").select(key, F.col("n").cast("long").alias("n_shingles"), F.col(key).alias("component_id"))
     rest = signed.filter("n > 0").select(key, "n", "node").join(own, "node").select(key, F.col("n").cast("long").alias("n_shingles"), "component_id")
     return rest.unionByName(alone).withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
@@ -442,7 +454,23 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, n
 
 
 def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, that stay when one document of each group does."""
-    found = near_duplicates(docs, key, text, shingle, percent)
-    dropped = Scratch(docs.sparkSession, "near").table(found.filter("NOT kept").select(F.col(key).alias("_dropped")).distinct(), "dropped")
-    return docs.join(dropped, F.col(key).eqNullSafe(F.col("_dropped")), "left_anti")
+    """The rows of ``docs``, all columns, that stay when one row of each group does.
+
+    That is the row of the least id (a null one only where no row of the group
+    has an id), then of the least SHA-1 of its text: ids may be null or repeated,
+    so rows are named by both.  Texts without words all stay.
+    """
+    signed, groups = _grouped(docs, key, text, shingle, percent, RECALL, named=True)
+    scratch = Scratch(docs.sparkSession, "near")
+    rows = signed.filter("n > 0").groupBy(F.col(key).alias("_id"), F.col("sha").alias("_sha"), "node").agg(F.count("*").alias("_rows"))
+    rows = scratch.table(rows.join(groups.select("node", "component"), "node").drop("node"), "rows")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.isnull("_id").alias("none"), F.col("_id").alias("id"), F.col("_sha").alias("sha"))).alias("_first"))
+    stays = F.col("_id").eqNullSafe(F.col("_first.id")) & (F.col("_sha") == F.col("_first.sha"))
+    judged = scratch.table(rows.join(first, "component").withColumn("_stays", stays).filter("NOT _stays OR _rows > 1").select("_id", "_sha", "_stays"), "judged")
+    dropped, repeated = judged.filter("NOT _stays"), judged.filter("_stays")
+    match = lambda few: F.col(key).eqNullSafe(few["_id"]) & (F.col("_own") == few["_sha"])
+    kept = docs.withColumn("_own", _sha(text)).join(dropped, match(dropped), "left_anti")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, match(repeated), "left_semi").dropDuplicates([key, "_own"])
+        kept = kept.join(repeated, match(repeated), "left_anti").unionByName(once)
+    return kept.drop("_own")

@@ -87,6 +87,18 @@ def test_near_stage_keeps_one_of_each_group(spark):
     assert near.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_near_stage_with_null_and_repeated_ids(spark):
+    one, two, three = ("a b c d e f g h", "p q r s t u v w", "k l m n o k l m")
+    rows = [(1, one), (None, one + " i"), (None, "a clean text of some more words"), (None, two), (None, two + " x"), (7, three), (7, three + " y"), (7, "the same id but quite other words"), (8, "one two three four five six"), (8, "one two three four five six"), (None, None), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(7) for c in ("n", "node", "sha", "component", "kept")})
+    left = near.without_near_duplicates(docs.repartition(3))
+    assert left.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in left.collect())
+    for group in ([(None, two), (None, two + " x")], [(7, three), (7, three + " y")]):
+        assert sum(got.pop(g, 0) for g in group) == 1
+    assert got == Counter([(1, one), (None, "a clean text of some more words"), (7, "the same id but quite other words"), (8, "one two three four five six"), (None, None), (9, "")])
+
+
 def test_component_rounds_equal_one_task(spark):
     pick = random.Random(3)
     edges = spark.createDataFrame([(pick.randrange(300), pick.randrange(300)) for _ in range(220)], "a long, b long")
