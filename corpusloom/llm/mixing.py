@@ -7,9 +7,9 @@ the released.  With weights that add up to 1 every block meets its deadline, so
 after any number of slots t a source has had less than one block more or less
 than w * t.
 
-Weights are rounded to multiples of 1 / RESOLUTION, which makes the schedule
-repeat every RESOLUTION slots: one period is simulated, and the slot of any block
-follows by arithmetic, however many blocks there are.
+Weights are exact fractions.  One task simulates the schedule slot by slot in
+memory for a row per source, and writes a row per slot, of which there is one
+for each block that is read; documents take their times from that table.
 
 A source that ends before the others starts again (another epoch) until every
 source has been read once, so no document is lost.
@@ -23,10 +23,12 @@ Equal rows are rows like any other.  An empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,6 +37,8 @@ from corpusloom.llm.store import Scratch
 
 RESOLUTION = 10_000
 BLOCK = 64
+#: Sources up to which their figures are broadcast.
+BROADCAST_SOURCES = 10_000
 
 
 def smoothed(rows: Mapping[str | None, int], power: float = 0.7) -> dict[str | None, float]:
@@ -55,24 +59,44 @@ def quantised(weights: Mapping[str | None, float], resolution: int = RESOLUTION)
     return out
 
 
-def period(slots: Mapping[str | None, int]) -> list[tuple[str | None, int, int, int, int]]:
-    """One period as (source, index within the period, slot, release, deadline), in slot order."""
-    length = sum(slots.values())
-    names = sorted(slots, key=lambda s: (s is not None, s))
-    waiting = [(0, i, 0) for i in range(len(names))]  # release, source, index
-    ready: list[tuple[int, int, int, int]] = []  # deadline, source, index, release
-    out = []
-    for slot in range(length):
+def whole(weights: Mapping[str | None, float]) -> dict[str | None, int]:
+    """Integers in exactly the proportions of the weights."""
+    exact = {s: Fraction(w) for s, w in weights.items()}
+    common = math.lcm(*(w.denominator for w in exact.values()))
+    return {s: int(w * common) for s, w in exact.items()}
+
+
+def slots(weights: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(source, block, slot, release, deadline) in slot order, until each source has had its number of blocks; blocks count on over epochs."""
+    total, left = sum(weights), sum(b > 0 for b in blocks)
+    waiting = [(0, i, 0) for i in range(len(weights))]  # release, source, block
+    ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
+    slot = 0
+    while left:
         while waiting and waiting[0][0] <= slot:
             release, i, j = heapq.heappop(waiting)
-            a = slots[names[i]]
-            heapq.heappush(ready, (-(-(j + 1) * length // a), i, j, release))
+            heapq.heappush(ready, (-(-(j + 1) * total // weights[i]), i, j, release))
         deadline, i, j, release = heapq.heappop(ready)
-        out.append((names[i], j, slot, release, deadline))
-        a = slots[names[i]]
-        if j + 1 < a:
-            heapq.heappush(waiting, ((j + 1) * length // a, i, j + 1))
-    return out
+        yield i, j, slot, release, min(deadline, (1 << 63) - 1)
+        left -= j + 1 == blocks[i]
+        heapq.heappush(waiting, ((j + 1) * total // weights[i], i, j + 1))
+        slot += 1
+
+
+_CELLS = "_i int, _k long, _slot long, _release long, _deadline long"
+
+
+def _simulate(weights: list[int], blocks: list[int]):
+    def simulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int32(), *[pa.int64()] * 4)
+        names = ["_i", "_k", "_slot", "_release", "_deadline"]
+        for batch in batches:
+            for _ in range(batch.num_rows):
+                rows = slots(weights, blocks)
+                while some := list(itertools.islice(rows, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*some, strict=True), kinds, strict=True)], names)
+
+    return simulate
 
 
 def _ranked(docs: DataFrame, source: str, order: list[Column], scratch: Scratch) -> DataFrame:
@@ -96,51 +120,43 @@ def _ranked(docs: DataFrame, source: str, order: list[Column], scratch: Scratch)
     )
 
 
-def schedule(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: Mapping[str | None, float] | None = None, power: float = 0.7, block: int = BLOCK, resolution: int = RESOLUTION) -> DataFrame:
+def schedule(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: Mapping[str | None, float] | None = None, power: float = 0.7, block: int = BLOCK, resolution: int | None = None) -> DataFrame:
     """One row per document and reading of it: key, source, block, epoch, release, deadline, slot and position.
 
     ``position`` orders the whole mix: block slots, then the rows of a block.
-    Without ``weights`` the targets are the sources' sizes to ``power``.
+    Without ``weights`` the targets are the sources' sizes to ``power``.  A
+    ``resolution`` rounds them as :func:`quantised` does; without one they are exact.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "mixing")
     narrow = docs.select(F.col(key), F.col(source))
-    sizes = {r[0]: r[1] for r in narrow.groupBy(source).count().limit(resolution + 1).collect()}  # a number per source; more than a period holds raise below
+    sizes = {r[0]: r[1] for r in narrow.groupBy(source).count().collect()}  # a number per source
     if weights is None:
         weights = smoothed(sizes, power)
     elif missing := [s for s in sizes if weights.get(s, 0) <= 0]:
         raise ValueError(f"sources without a positive weight: {missing[:5]}")
-    slots = quantised({s: weights[s] for s in sizes}, resolution) if sizes else {}
-    length = sum(slots.values())
-    table = period(slots)
-    blocks = {s: -(-n // block) for s, n in sizes.items()}
-    where: dict[str | None, list[int]] = {s: [] for s in sizes}
-    for s, _, slot, _, _ in table:
-        where[s].append(slot)
-
-    def slot_of(s: str | None, k: int) -> int:
-        return k // slots[s] * length + where[s][k % slots[s]]
-
-    horizon = max((slot_of(s, b - 1) for s, b in blocks.items()), default=-1) + 1
-    served = {s: horizon // length * slots[s] + sum(x < horizon % length for x in where[s]) for s in sizes} if length else {}
-    plan = spark.createDataFrame([(s, slots[s], blocks[s], served[s]) for s in sizes], "_s string, _slots int, _blocks long, _served long")
-    cells = spark.createDataFrame([(s, j, slot, r, d) for s, j, slot, r, d in table], "_c string, _j int, _slot long, _release long, _deadline long")
+    targets = {s: weights[s] for s in sizes}
+    shares = {} if not sizes else whole(targets) if resolution is None else quantised(targets, resolution)
+    names = sorted(sizes, key=lambda s: (s is not None, s))
+    blocks = [-(-sizes[s] // block) for s in names]
+    cells = scratch.table(spark.range(0, 1, 1, 1).mapInArrow(_simulate([shares[s] for s in names], blocks), _CELLS), "cells")
+    plan = spark.createDataFrame(list(zip(names, range(len(names)), blocks, strict=True)), "_s string, _i int, _blocks long")
+    plan = plan.join(cells.groupBy("_i").agg((F.max("_k") + 1).alias("_served")), "_i")
+    plan = scratch.table(plan.coalesce(1), "plan")
     order = [F.xxhash64(F.col(key).cast("string"), F.lit("mix")), F.col(key)]
     ranked = _ranked(narrow, source, order, scratch)
-    # both tables have a bounded size: a row per source, and RESOLUTION rows
+    few = F.broadcast(plan) if len(names) <= BROADCAST_SOURCES else plan
     timed = (
-        ranked.join(F.broadcast(plan), F.col(source).eqNullSafe(F.col("_s")))
+        ranked.join(few, F.col(source).eqNullSafe(F.col("_s")))
         .withColumn("block", F.expr(f"_rank div {block}"))
         .withColumn("epoch", F.explode(F.expr("sequence(0, cast(greatest(_served - block - 1, 0) div _blocks AS int))")))
         .withColumn("_k", F.col("block") + F.col("epoch") * F.col("_blocks"))
-        .withColumn("_at", F.expr("cast(_k % _slots AS int)"))
-        .join(F.broadcast(cells), F.col(source).eqNullSafe(F.col("_c")) & (F.col("_at") == F.col("_j")))
+        .join(cells.hint("shuffle_hash"), ["_i", "_k"])  # a row per slot, never sent whole
     )
-    turn = F.expr(f"(_k div _slots) * {max(length, 1)}")
     return timed.select(
         key, source, "block", "epoch",
-        (turn + F.col("_release")).alias("release"), (turn + F.col("_deadline")).alias("deadline"), (turn + F.col("_slot")).alias("slot"),
-        ((turn + F.col("_slot")) * block + F.expr(f"_rank % {block}")).alias("position"),
+        F.col("_release").alias("release"), F.col("_deadline").alias("deadline"), F.col("_slot").alias("slot"),
+        (F.col("_slot") * block + F.expr(f"_rank % {block}")).alias("position"),
     )
 
 

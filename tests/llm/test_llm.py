@@ -296,6 +296,25 @@ def test_mixing_stays_within_a_block(spark):
     assert mixing.schedule(docs.limit(0)).count() == 0 and mixing.mixed(docs.limit(0)).count() == 0
 
 
+def test_mixing_stays_within_a_block_of_the_true_weights(spark):
+    names = [f"s{i:05d}" for i in range(10_500)]  # more than the slots of a rounded period
+    weights = [100_000] + [1] * (len(names) - 1)
+    seen, total = np.zeros(len(names)), sum(weights)
+    for i, j, slot, release, deadline in mixing.slots(weights, [3000] + [0] * (len(names) - 1)):
+        assert release <= slot < deadline and release == j * total // weights[i]
+        seen[i] += 1
+        if slot % 50 == 0:
+            assert np.abs(seen - (slot + 1) * np.array(weights) / total).max() < 1
+    sizes = {"a": 2500, **{n: 1 for n in names[:300]}}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    targets = {s: 1 / 3 if s == "a" else 2 / 900 for s in sizes}
+    plan = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), weights=targets, block=1).toPandas()
+    order = plan.sort_values("slot")
+    assert order.slot.tolist() == list(range(len(order))) and set(plan.doc_id) == set(range(len(rows)))
+    hits = np.cumsum(order.source.to_numpy() == "a")
+    assert np.abs(hits - (order.slot.to_numpy() + 1) / 3).max() < 1.0001
+
+
 def test_packing_fits_and_keeps_everything(spark):
     values = [*texts(2), "y" * 5000]
     docs = frame(spark, values).unionByName(frame(spark, ["repeated"])).unionByName(frame(spark, ["repeated"]))
