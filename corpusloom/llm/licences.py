@@ -1,11 +1,12 @@
 """Licence scan with a positional index of rare words.
 
 1. Document frequencies of all licence words are counted over every document.
-2. A file's licence words of highest IDF look up the templates' postings
-   (template, position); each hit votes for an alignment, the difference of the
-   two positions.  Alignments that several words agree on are verified: the
-   template's mandatory key phrase must stand at its place, and the IDF-weighted
-   share of template words that match there is the score.
+2. For each template whose key words a file all holds, the one of highest IDF
+   looks up its places in the file; each place names an alignment, the difference
+   of the two positions.  Alignments are verified: the template's mandatory key
+   phrase must stand at its place, several words must agree, and the IDF-weighted
+   share of template words that match there is the score.  As the key phrase is
+   mandatory, no alignment is missed.
 3. Base phrases are found in every place where their words stand consecutively.
 
 Words are maximal runs of ASCII letters, digits and non-ASCII characters after
@@ -53,7 +54,6 @@ TEMPLATES = (
     ("proprietary", "all rights reserved", "copyright all rights reserved"),
 )
 
-_RARE_WORDS = 12
 _LEAST_SCORE = 0.5
 
 
@@ -63,19 +63,17 @@ def _hashes(words: list[str]) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def _index(templates: tuple) -> tuple[np.ndarray, list, dict]:
-    """Sorted word hashes, templates as (label, ids, key start, key ids), and postings by word id."""
+def _index(templates: tuple) -> tuple[np.ndarray, list]:
+    """Sorted word hashes, and templates as (label, ids, key start, key ids)."""
     words = sorted({w for _, key, notice in templates for w in f"{key} {notice}".split()})
     codes = np.sort(_hashes(words))
     ids = {w: int(np.searchsorted(codes, c)) for w, c in zip(words, _hashes(words), strict=True)}
-    out, postings = [], defaultdict(list)
-    for t, (label, key, notice) in enumerate(templates):
+    out = []
+    for label, key, notice in templates:
         body, own = [ids[w] for w in notice.split()], [ids[w] for w in key.split()]
         at = next(i for i in range(len(body) - len(own) + 1) if body[i : i + len(own)] == own)
         out.append((label, np.array(body), at, np.array(own)))
-        for i, w in enumerate(body):
-            postings[w].append((t, i))
-    return codes, out, postings
+    return codes, out
 
 
 def _known(words: Words, codes: np.ndarray) -> np.ndarray:
@@ -106,32 +104,36 @@ def word_frequencies(docs: DataFrame, text: str, templates: tuple) -> tuple[np.n
 
 def _aligned(known: np.ndarray, idf: np.ndarray, templates: tuple) -> list[tuple[str, int, float]]:
     """Verified (label, start, score) of one file, given the index id of each of its words."""
-    _, out, postings = _index(templates)
-    present = np.unique(known[known >= 0])
-    rare = set(present[np.lexsort((present, -idf[present]))][:_RARE_WORDS].tolist())
-    places = np.flatnonzero(np.isin(known, list(rare)))
-    votes: dict[tuple[int, int], int] = defaultdict(int)
-    for p in places.tolist():
-        for t, i in postings[int(known[p])]:
-            votes[t, p - i] += 1
+    held = np.zeros(len(idf), bool)
+    held[known[known >= 0]] = True
     found = []
-    for (t, start), n in votes.items():
-        label, body, at, key = out[t]
-        if n < min(2, len(rare & set(body.tolist()))):
+    for label, body, at, key in _index(templates)[1]:
+        if not held[key].all():
             continue
-        low = start + at
-        if low < 0 or low + len(key) > len(known) or (known[low : low + len(key)] != key).any():
-            continue
-        there = np.arange(start, start + len(body))
-        inside = (there >= 0) & (there < len(known))
-        match = np.zeros(len(body), bool)
-        match[inside] = known[there[inside]] == body[inside]
-        score = float(idf[body[match]].sum() / max(idf[body].sum(), 1e-12))
-        if score >= _LEAST_SCORE:
-            found.append((label, start, round(min(score, 1.0), 6)))
+        rare = int(np.argmax(idf[key]))
+        places = np.flatnonzero(known == key[rare]) - rare
+        places = places[(places >= 0) & (places + len(key) <= len(known))]
+        for i, w in enumerate(key.tolist()):
+            places = places[known[places + i] == w]
+        for start in (places - at).tolist():
+            match = _matches(known, body, start)
+            if match.sum() < min(2, held[np.unique(body)].sum()):
+                continue
+            score = float(idf[body[match]].sum() / max(idf[body].sum(), 1e-12))
+            if score >= _LEAST_SCORE:
+                found.append((label, start, round(min(score, 1.0), 6)))
     return sorted(found)
 
 
+def _matches(known: np.ndarray, body: np.ndarray, start: int) -> np.ndarray:
+    """Which words of a template stand at their place when it starts at ``start``."""
+    there = np.arange(start, start + len(body))
+    inside = (there >= 0) & (there < len(known))
+    match = np.zeros(len(body), bool)
+    match[inside] = known[there[inside]] == body[inside]
+    return match
+
+
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tuple = TEMPLATES) -> DataFrame:
     """One row per document: key, n_words, n_base, first_word, last_word, base_labels, labels, score and ``matches``, the verified (label, start, score)."""
     seen, n = word_frequencies(docs, text, templates)
@@ -140,7 +142,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: tu
     kind = docs.schema[key].dataType.simpleString()
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, out, _ = _index(templates)
+        codes, out = _index(templates)
         wanted = [np.unique(k) for _, _, _, k in out]
         for batch in batches:
             cols: dict[str, list] = defaultdict(list)

@@ -236,6 +236,21 @@ def test_licences_equal_brute_force(spark):
     assert licences.scan(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_licences_of_several_notices_in_one_text(spark):
+    plain = ["Copyright here, all rights reserved there"] * 40  # words of the short notice are common
+    notices = {label: notice for label, _, notice in licences.TEMPLATES if label in ("bsd", "gpl", "mit", "isc", "mpl")}
+    text = " ".join(f"{n} and so on." for n in notices.values()) + " Copyright. All rights reserved."
+    got = {r["doc_id"]: r for r in licences.scan(frame(spark, [text, *plain])).collect()}
+    assert set(got[0]["labels"].split(",")) >= {*notices, "proprietary"}
+    pick = random.Random(2)
+    values = [" ".join(pick.choice(licences.TEMPLATES)[pick.choice((1, 2))] for _ in range(pick.randint(1, 6))) for _ in range(40)]
+    found = {r["doc_id"]: Counter((m["label"], m["start"]) for m in r["matches"]) for r in licences.scan(frame(spark, values)).collect()}
+    for i, v in enumerate(values):
+        words = v.split()
+        whole = Counter((label, p) for label, _, notice in licences.TEMPLATES for p in range(len(words)) if words[p : p + len(notice.split())] == notice.split())
+        assert not whole - found[i]
+
+
 def test_url_parts_and_rules(spark):
     cases = {
         "http://A.Example.NET/en/x?y#z": ("a.example.net", "/en/x", "example.net/en/", "allow"), "x://net/": ("net", "/", "net/", "block"), "http://a.net": ("a.net", "", None, None),
