@@ -3,7 +3,8 @@
 Hosts and paths are cut at everything but ASCII letters and digits, and names
 that were run together are split into words by a unigram Viterbi search.  Word
 counts come from the titles of all pages, together with a short list of common
-web words.  A multinomial naive Bayes model scores the words: URLs that hold a
+web words; they are written whole, and the words that stand in some name of the
+URLs, which are all the search can use, reach the model with the full total.  A multinomial naive Bayes model scores the words: URLs that hold a
 listed bad word are its positive examples, all others its negative ones, and
 its counts are taken over all pages, hashed into a fixed number of buckets.
 
@@ -40,7 +41,6 @@ BAD = frozenset("adult ads bet bets betting casino cheap escort farm gambling lo
 COMMON = "www blog shop store news mail web site online world home page search free best the and for my your get buy sale deals forum wiki help info data cloud tech game games music video photo book books travel food health art car cars auto job jobs city live life love time today daily".split()
 
 BUCKETS = 1 << 16
-MAX_WORDS = 50_000
 _LONGEST = 20
 _A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -65,22 +65,45 @@ def ruled(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RULES
     return (F.lit(None).cast("string"), F.lit(None).cast("string")) if rule is None else (rule, verdict)
 
 
-def title_words(pages: DataFrame, html: str = "html", most: int = MAX_WORDS) -> dict[str, int]:
-    """Counts of the words of all titles; the model keeps the ``most`` frequent."""
+def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a title word in a name may be."""
+    for batch in batches:
+        seen: set[str] = set()
+        for name in batch.column(0).to_pylist():
+            for start in range(len(name) - 1):
+                seen.update(name[start:end] for end in range(start + 2, min(start + _LONGEST, len(name)) + 1))
+                if len(seen) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
+                    seen = set()
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["word"])
+
+
+def title_words(pages: DataFrame, urls: DataFrame, html: str = "html") -> tuple[dict[str, int], int, int]:
+    """Counts of the title words that stand in names of ``urls`` (host, path) or are common; the largest count of all title words, and the sum without bad words."""
     title = F.lower(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(?i)<title[^>]*+>([^<]*+)", 1))
-    words = pages.select(F.explode(F.regexp_extract_all(title, F.lit("[a-z]{2,20}"), 0)).alias("word"))
+    words = pages.select(F.explode(F.regexp_extract_all(title, F.lit("[a-z]{2,20}"), F.lit(0))).alias("word"))
     # written first, so that the executors and not the driver merge what each part holds
-    top = Scratch(pages.sparkSession, "urls").table(words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(most), "words")
-    rows = top.collect()
-    return {r["word"]: r["count"] for r in rows}
+    scratch = Scratch(pages.sparkSession, "urls")
+    counts = scratch.table(words.groupBy("word").count(), "words")
+    most, total = counts.agg(F.coalesce(F.max("count"), F.lit(1)), F.coalesce(F.sum(F.when(~F.col("word").isin(*BAD), F.col("count"))), F.lit(0))).first()
+    names = urls.select(F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "host", "path")), F.lit("[a-z]+"), F.lit(0))).alias("name")).distinct()
+    used = names.mapInArrow(_substrings, "word string").distinct()
+    known = counts.join(used, "word", "left_semi").unionByName(counts.filter(F.col("word").isin(*COMMON))).distinct()
+    rows = scratch.table(known, "known").collect()
+    return {r["word"]: r["count"] for r in rows}, most, total
 
 
 class Segmenter:
-    """Unigram Viterbi splitting of names that were run together."""
+    """Unigram Viterbi splitting of names that were run together.
+
+    Where ``counts`` holds only some of the words, ``most`` and ``total`` are the largest count of all and their sum without bad words.
+    """
 
-    def __init__(self, counts: Mapping[str, int]) -> None:
-        full = {w: max(counts.values(), default=1) for w in (*COMMON, *BAD)} | {w: n for w, n in counts.items() if w not in BAD}
-        total = sum(full.values())
+    def __init__(self, counts: Mapping[str, int], most: int | None = None, total: int | None = None) -> None:
+        most = max(counts.values(), default=1) if most is None else most
+        own = {w: n for w, n in counts.items() if w not in BAD}
+        full = dict.fromkeys((*COMMON, *BAD), most) | own
+        total = (sum(own.values()) if total is None else total) + most * len(full.keys() - own.keys())
         self.cost = {w: math.log(total / n) for w, n in full.items()}
         self.total = math.log(total)
         self.split = lru_cache(maxsize=100_000)(self._split)
@@ -161,7 +184,7 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     """One row per page: key, host, path, rule, verdict, and the model's ``words`` and ``score`` (log odds of block)."""
     host, path = host_and_path(F.col(url))
     urls = pages.select(key, host.alias("host"), path.alias("path"))
-    segmenter = Segmenter(title_words(pages, html))
+    segmenter = Segmenter(*title_words(pages, urls.select("host", "path"), html))
     counts, totals = url_counts(urls.select("host", "path"), segmenter)
     weight = token_weights(counts)
     prior = math.log((totals[1] + 1) / (totals[0] + 1))

@@ -275,6 +275,16 @@ def test_segmentation_and_verdicts(spark):
     assert all(got[i] == "allow" for i in range(200)) and all(got[200 + i] == "block" for i in range(20))
 
 
+def test_segmentation_knows_every_title_word(spark):
+    common = ["q" + "".join("abcdefghijklmnopqrstuvwxyz"[i // 26**k % 26] for k in range(4)) for i in range(50_100)]
+    title = " ".join(common * 2) + " zebra garden cheap"
+    rows = [(1, "http://zebragarden.example/Path/zebracheap", f"<title>{title}</title>"), (2, "http://casinogarden.example/9", "<title>casino casino garden casino</title>"), (3, "http://" + "zebra" * 4000, None), (4, None, None)]
+    got = {r["page_id"]: r["words"] for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1][:2] == ["zebra", "garden"] and got[3] == ["zebra"] * 4000 and got[4] == []
+    full = urls.Segmenter(Counter(f"{title} casino casino garden casino".split()))
+    assert got[1] == full.words("zebragarden.example", "/Path/zebracheap") and got[2] == full.words("casinogarden.example", "/9")
+
+
 def test_quality_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     got = quality.score_quality(spark.read.parquet(f"{folder}/documents.parquet")).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").toPandas()
