@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -86,6 +87,35 @@ def bands_for(threshold: float, permutations: int = 128, steps: int = 200) -> tu
     return best[1], best[2]
 
 
+#: Chance that verified pairs at the threshold become candidates; more alike ones do with more.
+RECALL = 0.999999
+#: Permutations that the bands for this recall may take.
+RECALL_PERMUTATIONS = 256
+
+
+@lru_cache(maxsize=64)
+def bands_for_recall(threshold: float, recall: float = RECALL, permutations: int = RECALL_PERMUTATIONS) -> tuple[int, int]:
+    """Bands and rows per band, as many rows as fit, that find a pair at the threshold with probability ``recall``. One row takes as many bands as it needs."""
+    if threshold >= 1:
+        return 1, permutations
+    bands = lambda r: math.ceil(math.log(1 - recall) / math.log1p(-(threshold**r)))
+    rows = 1
+    while bands(rows + 1) * (rows + 1) <= permutations:
+        rows += 1
+    return bands(rows), rows
+
+
+@lru_cache(maxsize=64)
+def _least_bits(threshold: float, bits: int, miss: float = 1e-7) -> int:
+    """One-bit sketches that must agree: fewer happen with probability ``miss`` at the threshold."""
+    p, total = (1 + threshold) / 2, 0.0
+    for k in range(bits + 1):
+        total += math.comb(bits, k) * p**k * (1 - p) ** (bits - k)
+        if total > miss:
+            return k
+    return 0
+
+
 def signatures(df: DataFrame, key: str, text: Column, n: int, permutations: int, seed: int = 1) -> DataFrame:
     """(key, signature) by MinHash of each text's character n-grams; empty texts have none.
 
@@ -124,6 +154,23 @@ def banded(df: DataFrame, key: str, text: Column, n: int, threshold: float, perm
     return own.select("key", F.explode(bands).alias("_b")).select(F.col("_b.band").alias("band"), F.col("_b.hash").alias("hash"), "key")
 
 
+def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: float) -> DataFrame:
+    """Pairs (a, b) that may reach the threshold: of a band for the recall, and alike in one-bit sketches of up to 128 signature values."""
+    b, r = bands_for_recall(threshold)
+    words = min(2, b * r // 64)
+    bit = lambda low: F.aggregate(F.slice("signature", low, 64), F.lit(0).cast("long"), lambda s, x: F.shiftleft(s, 1).bitwiseOR(x.bitwiseAND(1)))
+    own = signatures(df, key, text, n, b * r).withColumns({f"s{i}": bit(64 * i + 1) for i in range(words)})
+    sketch = [f"s{i}" for i in range(words)]
+    bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.xxhash64(i, F.slice(F.col("signature"), i * r + 1, F.lit(r))))
+    left = own.select(F.explode(bands).alias("hash"), F.col("key").alias("a"), *sketch)
+    right = left.select("hash", F.col("a").alias("b"), *[F.col(c).alias(f"o{c}") for c in sketch])
+    pairs = left.join(right, "hash").filter("a < b")
+    if words:
+        apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"o{c}"))) for c in sketch), F.lit(0))
+        pairs = pairs.filter(apart <= 64 * words - _least_bits(threshold, 64 * words))
+    return pairs.select("a", "b").distinct()
+
+
 def candidate_edges(bands: DataFrame) -> DataFrame:
     """A star around the least key of each bucket: the same components as all its pairs, with one edge fewer than keys.
 
@@ -156,13 +203,16 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def near_pairs(df: DataFrame, key: str, text: Column, n: int = 3, threshold: float = 0.9, verified: bool = True) -> DataFrame:
-    """Pairs (a, b) that share a band; ``verified`` keeps those whose exact similarity reaches the threshold and adds it."""
+    """Pairs (a, b) that share a band, as surveyed.
+
+    ``verified``: pairs whose exact similarity reaches the threshold, with it; each is found with probability RECALL or more.
+    """
     own = df.select(F.col(key), F.array_distinct(T.ngrams(T.dup_normalised(text), n)).alias("_grams"))
-    bands = banded(df, key, T.dup_normalised(text), n, threshold)
-    other = bands.select("band", "hash", F.col("key").alias("b"))
-    pairs = bands.join(other, ["band", "hash"]).filter("key < b").select(F.col("key").alias("a"), "b").distinct()
     if not verified:
-        return pairs
+        bands = banded(df, key, T.dup_normalised(text), n, threshold)
+        other = bands.select("band", "hash", F.col("key").alias("b"))
+        return bands.join(other, ["band", "hash"]).filter("key < b").select(F.col("key").alias("a"), "b").distinct()
+    pairs = _screened_pairs(df, key, T.dup_normalised(text), n, threshold)
     left, right = (own.select(F.col(key).alias(x), F.col("_grams").alias(f"_{x}")) for x in "ab")
     scored = pairs.join(left, "a").join(right, "b").select("a", "b", jaccard(F.col("_a"), F.col("_b")).alias("similarity"))
     return scored.filter(F.col("similarity") >= threshold)
@@ -186,17 +236,47 @@ def exact_contaminated(train: DataFrame, evals: DataFrame, key: str, train_text:
     return own.join(hashes, "_hash", "left_semi").select(key)
 
 
+def _prefix(size: Column, threshold: float) -> Column:
+    """Grams of a set of which a set as alike as the threshold holds one at least, in any order."""
+    return size - F.ceil(size * threshold - 1e-9) + 1
+
+
+def jaccard_contaminated(train: DataFrame, evals: DataFrame, key: str, train_text: Column, eval_text: Column, n: int = 5, threshold: float = 0.7) -> DataFrame:
+    """Keys of training rows whose similarity to an evaluation row reaches the threshold: an exact prefix-filter join.
+
+    Grams are ordered by the evaluation rows that hold them, so those that none
+    holds come first, and a training row without enough known grams is dropped.
+    """
+    text = lambda x: T.dup_normalised(x)
+    grams = lambda x: F.array_distinct(T.ngrams(text(x), n))
+    items = checkpointed(evals.select(identity(text(eval_text)).alias("_item"), grams(eval_text).alias("_b")).filter(F.size("_b") > 0).dropDuplicates(["_item"]))
+    posts = items.select("_item", F.size("_b").alias("_nb"), F.explode("_b").alias("gram"))
+    held = posts.groupBy("gram").agg(F.count("*").alias("_df"))
+    ordered = F.sort_array(F.collect_set(F.struct("_df", "gram")))
+    first = posts.join(held, "gram").groupBy("_item", "_nb").agg(ordered.alias("_k")).select("_item", F.explode(F.slice("_k", F.lit(1), _prefix(F.col("_nb"), threshold).cast("int"))).alias("_s")).select("_item", "_s.gram")
+    least, most = items.agg(F.min(F.size("_b")), F.max(F.size("_b"))).first()
+    if least is None:
+        return train.select(key).limit(0)
+    own = train.select(F.col(key).alias("_id"), identity(text(train_text)).alias("_h"), grams(train_text).alias("_a"))
+    own = own.select("_id", "_h", F.size("_a").alias("_na"), "_a").filter((F.col("_na") >= least * threshold - 1e-9) & (F.col("_na") * threshold <= most + 1e-9))
+    known = own.select("_id", "_h", "_na", F.explode("_a").alias("gram")).join(held, "gram").groupBy("_id", "_h", "_na").agg(ordered.alias("_k"))
+    known = known.withColumn("_take", (_prefix(F.col("_na"), threshold) - (F.col("_na") - F.size("_k"))).cast("int")).filter("_take > 0")
+    known = checkpointed(known)
+    pairs = known.select("_id", "_h", F.explode(F.slice("_k", F.lit(1), F.col("_take"))).alias("_s")).select("_id", "_h", "_s.gram").join(first, "gram").select("_id", "_h", "_item").distinct()
+    sets = known.select(F.col("_id").alias("_i"), F.col("_h").alias("_g"), "_na", F.col("_k.gram").alias("_a"))
+    both = pairs.join(sets, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_g"))).join(items, "_item")
+    common = F.size(F.array_intersect("_a", "_b"))  # grams that no item holds are not among _a
+    alike = F.try_divide(common.cast("double"), F.col("_na") + F.size("_b") - common)
+    return both.filter(alike >= threshold).select(F.col("_id").alias(key)).distinct()
+
+
 def approx_contaminated(train: DataFrame, evals: DataFrame, key: str, eval_key: str, train_text: Column, eval_text: Column, n: int = 5, threshold: float = 0.7, verified: bool = False) -> DataFrame:
     """Keys of training rows that share a band with an evaluation row, or reach the exact similarity when ``verified``."""
-    train_grams, eval_grams = T.ngrams(T.dup_normalised(train_text), n), T.ngrams(T.dup_normalised(eval_text), n)
+    if verified:
+        return jaccard_contaminated(train, evals, key, train_text, eval_text, n, threshold)
     left = banded(train, key, T.dup_normalised(train_text), n, threshold)
     right = banded(evals, eval_key, T.dup_normalised(eval_text), n, threshold).select("band", "hash", F.col("key").alias("other"))
-    pairs = left.join(right, ["band", "hash"]).select(F.col("key").alias(key), "other").distinct()
-    if verified:
-        a = train.select(key, F.array_distinct(train_grams).alias("_a"))
-        b = evals.select(F.col(eval_key).alias("other"), F.array_distinct(eval_grams).alias("_b"))
-        pairs = pairs.join(a, key).join(b, "other").filter(jaccard(F.col("_a"), F.col("_b")) >= threshold)
-    return pairs.select(key).distinct()
+    return left.join(right, ["band", "hash"]).select(F.col("key").alias(key)).distinct()
 
 
 def contamination_flags(train: DataFrame, evals: DataFrame, key: str, eval_key: str, train_text: Column, eval_text: Column, n: int = 5, threshold: float = 0.7, verified: bool = False) -> DataFrame:

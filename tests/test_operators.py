@@ -1,6 +1,7 @@
 """Operators over small frames, and invariants over driver tables."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -90,6 +91,46 @@ def test_near_pairs_of_driver_table(spark):
     assert found.filter("similarity < 0.9").isEmpty()
 
 
+def bent_texts(seed, share, n=60):
+    """Letters, and the same with some changed: pairs about as alike as a threshold, and the brute-force similarity by 5-grams."""
+    pick, rows = random.Random(seed), []
+    for i in range(n):
+        text = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=400))
+        bent = list(text)
+        for at in pick.sample(range(400), round(share * pick.uniform(0.4, 1.2) * 400)):
+            bent[at] = pick.choice("0123456789")
+        rows += [(2 * i, text), (2 * i + 1, "".join(bent))]
+    return rows
+
+
+def alike(x, y):
+    a, b = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (x, y))
+    return len(a & b) / len(a | b)
+
+
+def test_verified_pairs_near_the_threshold(spark):
+    rows = bent_texts(1, 0.01)
+    want = {(rows[i][0], rows[i + 1][0]) for i in range(0, len(rows), 2) if alike(rows[i][1], rows[i + 1][1]) >= 0.9}
+    got = {(r["a"], r["b"]) for r in dedup.near_pairs(spark.createDataFrame(rows, "i long, t string"), "i", F.col("t"), 5, 0.9).collect()}
+    assert got == want and 20 < len(want) < 60
+    for t in (0.5, 0.7, 0.9, 0.97):
+        b, r = dedup.bands_for_recall(t)
+        assert 1 - (1 - t**r) ** b >= 0.999999 and b * r <= 256
+
+
+def test_verified_contamination_near_the_threshold(spark):
+    rows = bent_texts(2, 0.045)
+    evals = spark.createDataFrame([r for r in rows if r[0] % 2 == 0] + [(900, ""), (901, None)], "e long, t string")
+    train = spark.createDataFrame([r for r in rows if r[0] % 2] + [(1000, ""), (1002, None), (1004, "abc"), (1, rows[3][1]), (None, rows[5][1])], "i long, t string")
+    of = dict(rows)
+    want = {i for i, t in [r for r in rows if r[0] % 2] if alike(t, of[i - 1]) >= 0.7}
+    want |= {1} if alike(rows[3][1], rows[2][1]) >= 0.7 else set()
+    want |= {None} if alike(rows[5][1], rows[4][1]) >= 0.7 else set()
+    got = {r["i"] for r in dedup.approx_contaminated(train, evals, "i", "e", F.col("t"), F.col("t"), 5, 0.7, verified=True).collect()}
+    assert got == want and 15 < len(want) < 60
+    assert dedup.approx_contaminated(train, evals.limit(0), "i", "e", F.col("t"), F.col("t"), verified=True).count() == 0
+
+
 def test_clean_and_contaminated_add_up(spark):
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     train = docs.select(F.col("doc_id").alias("id"), "text").unionByName(bench.select((F.col("item_id") + 1_000_000).alias("id"), "text"))
