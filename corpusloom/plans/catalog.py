@@ -443,8 +443,8 @@ def cluster_keywords(spark, d):
 
 @query
 def kmeans_auto_k(spark, d):
-    """CLU3 CLU4 CLU8"""
-    rows, _ = cluster.auto_kmeans(_vectors(spark, d), "embedding", "vec_id", 5, 15)
+    """CLU3"""
+    rows, _ = cluster.auto_kmeans(_vectors(spark, d).drop("cluster"), "embedding", "vec_id")
     return rows.groupBy("cluster").agg(F.count("*").alias("size"))
 
 

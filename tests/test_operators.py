@@ -158,6 +158,16 @@ def test_density_clusters(spark):
     assert got[99] == -1 and len({got[i] for i in range(0, 60, 2)}) == 1 and got[0] != got[1] and got[0] >= 0 <= got[1]
 
 
+def test_auto_k_searches_up_to_fifty(spark, tmp_path):
+    from corpusloom.plans.catalog import QUERIES
+
+    pick = random.Random(3)
+    rows = [(i, i % 25, [10.0 * (d == i % 25) + pick.gauss(0, 0.1) for d in range(25)]) for i in range(500)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    sizes = [r["size"] for r in QUERIES["kmeans_auto_k"](spark, str(tmp_path)).collect()]
+    assert sum(sizes) == 500 and len(sizes) > 15
+
+
 def test_fitting_turns():
     ids, labels = model.fitted([([1, 2], [3, 4]), ([5], [6])], 20, 0)
     assert ids == [1, 2, 3, 4, 0, 5, 6, 0] and labels == [-100, -100, 3, 4, 0, -100, 6, 0]
