@@ -347,7 +347,8 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int, r
     )
     joinable = classes.filter(F.col("sketch").isNotNull()).select("node", "n", "sketch")
     depth = max(2, math.ceil(math.log(max(joinable.count(), LEAF + 1) / LEAF) / math.log(1 / BACKGROUND)))
-    trees = min(COORDINATES // 2, trees_for(depth, similarity, recall))
+    # dense nodes branch up to DEEPER levels further, where a pair may part again
+    trees = min(COORDINATES // 2, trees_for(depth + DEEPER, similarity, recall))
     entries = scratch.table(joinable.mapInArrow(_expand(depth, trees, second), _ENTRY), "entries")
 
     tested, labels = None, None

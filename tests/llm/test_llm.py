@@ -115,6 +115,14 @@ def test_recall_of_trees():
         assert (1 - p) ** near.trees_for(depth, 0.8, 0.999) <= 0.001
 
 
+def test_trees_reach_the_recall_at_the_last_level(spark, monkeypatch):
+    grown, expand = [], near._expand
+    monkeypatch.setattr(near, "_expand", lambda depth, trees, second: grown.append((depth, trees)) or expand(depth, trees, second))
+    near.near_duplicates(frame(spark, ["a b c d e f g h", "a b c d e f g h i"], False), shingle=2)
+    depth, trees = grown[0]
+    assert (1 - near.together(depth + near.DEEPER, 0.8)) ** trees <= 1 - near.RECALL
+
+
 def test_golomb_round_trip():
     rng = np.random.default_rng(0)
     for k in (0, 1, 7, 1000):
