@@ -13,13 +13,17 @@ What crosses the network is a few bytes a document plus one copy of each
 suspect text per partition.  A group of copies of any size sends one row per
 partition, so no task holds a group.
 
+Suspects of a partition wait, by text, for GATHERED bytes and no more before they
+are sent, and an owner's share is bounded by OWNED rows, whatever the table.
+
 Rows meet their bitmaps by partition: both passes scan the same plan, whose
 partitions a table of files fixes, and a per-partition count and checksum stop
 the job if a source should deal its rows otherwise the second time.
 
 Cases: a null text is an empty text.  Equal rows (same id, same text) are rows
 of the group each; exactly one row with the largest id stays.  A null id counts
-as the smallest.  An empty table gives an empty result.
+as the smallest.  A very long text is hashed and compared whole.  Extra columns,
+whatever their names, take no part.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +46,10 @@ if TYPE_CHECKING:
 
 #: Bits of a fingerprint. Fewer make shorter codes and more false suspects, which the comparison of texts clears.
 FINGERPRINT_BITS = 48
+#: Bytes of suspects that a task puts together before it sends them.
+GATHERED = 16 << 20
+#: Rows per owner of fingerprints, about, at most.
+OWNED = 4_000_000
 
 
 def _fingerprint(digest: bytes) -> int:
@@ -103,8 +111,9 @@ def _beside(marks: Iterator[tuple]) -> Iterator[tuple | None]:
 
 
 def _split(part: int, pairs: Iterator[tuple]) -> Iterator[tuple]:
-    """Unique rows at once, suspects gathered by text at the end."""
+    """Unique rows at once; suspects gathered by text, in cells of at most GATHERED bytes and one text."""
     suspects, groups, n, check, seen = frozenset(), {}, 0, 0, 0
+    cell, held = part << 32, 0
     for row, head in pairs:
         if head is not None:
             n, check = head[0], head[1]
@@ -115,13 +124,16 @@ def _split(part: int, pairs: Iterator[tuple]) -> Iterator[tuple]:
         seen ^= code
         n -= 1
         if code in suspects:
+            held += 8 if text in groups else 8 + len(text)
             groups.setdefault(text, (digest.hexdigest(), []))[1].append(row[0])
+            if held > GATHERED:
+                yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
+                groups, held, cell = {}, 0, cell + 1
         else:
-            yield part, digest.hexdigest(), None, [row[0]]
+            yield cell, digest.hexdigest(), None, [row[0]]
     if n or seen != check:
         raise RuntimeError(f"partition {part} returned other rows when it was read again; give exact_duplicates a written table")
-    for text, (sha, ids) in groups.items():
-        yield part, sha, text, ids
+    yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
 
 
 def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -133,7 +145,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     spark = docs.sparkSession
     scratch = Scratch(spark, "exact")
     own = docs.select(F.col(key).cast("long"), F.col(text))
-    owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-own.count() // OWNED))
     sent = scratch.table(own.mapInArrow(_send(owners), "part int, owner int, n int, check long, blob binary"), "sent")
     marked = sent.filter("owner >= 0").groupBy("owner").applyInPandas(_mark, "part int, owner int, bitmap binary")
     answers = (
@@ -148,7 +160,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     if more:  # a cluster may deal keys to more partitions than asked for; those stay empty
         rows = spark.sparkContext.union([rows, spark.sparkContext.parallelize([], more)])
     local = rows.zip(marks.mapPartitions(_beside)).mapPartitionsWithIndex(_split)
-    local = scratch.table(spark.createDataFrame(local, "part int, sha string, text string, ids array<long>", verifySchema=False), "local")
+    local = scratch.table(spark.createDataFrame(local, "part long, sha string, text string, ids array<long>", verifySchema=False), "local")
 
     groups = (
         local.filter("text IS NOT NULL")
@@ -171,11 +183,13 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_duplicates` keeps."""
     spark = docs.sparkSession
-    found = Scratch(spark, "exact").table(exact_duplicates(docs, key, text), "found").withColumnRenamed(key, "_id").withColumnRenamed("text_sha256", "_sha")
+    scratch = Scratch(spark, "exact")
+    found = scratch.table(exact_duplicates(docs, key, text), "found").select(F.col(key).alias("_id"), "keep_id", "group_size", F.unhex("text_sha256").alias("_sha"))
     same_id = F.col("_id").eqNullSafe(F.col("keep_id"))
-    dropped = found.filter(~same_id).select("_id", "_sha").distinct()
-    repeated = found.filter(same_id & (F.col("group_size") > 1)).groupBy("_id", "_sha").agg(F.count("*").alias("n")).filter("n > 1").select("_id", "_sha")
-    own = docs.withColumn("_own", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    # written, so that their true size decides whether they are broadcast or the texts are shuffled
+    dropped = scratch.table(found.filter(~same_id).select("_id", "_sha").distinct(), "dropped")
+    repeated = scratch.table(found.filter(same_id & (F.col("group_size") > 1)).groupBy("_id", "_sha").agg(F.count("*").alias("n")).filter("n > 1").select("_id", "_sha"), "repeated")
+    own = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     match = lambda few: F.col(key).cast("long").eqNullSafe(few["_id"]) & (F.col("_own") == few["_sha"])
     kept = own.join(dropped, match(dropped), "left_anti")
     if not repeated.isEmpty():
