@@ -169,8 +169,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", weights:
     plan = scratch.table(plan, "plan")
     out = docs.join(plan.filter("_rows = 1"), same).withColumn("_position", F.explode("_places"))
     repeated = plan.filter("_rows > 1")
-    if not repeated.isEmpty():  # rows of one id and source share its places evenly
-        turn = F.row_number().over(Window.partitionBy(key, source).orderBy(*names)) - 1
+    if not repeated.isEmpty():  # rows of one id and source share its places evenly, in the order of their JSON: maps have none of their own
+        turn = F.row_number().over(Window.partitionBy(key, source).orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))) - 1
         own = docs.join(repeated, same).withColumn("_turn", turn)
         out = out.unionByName(own.withColumn("_position", F.explode(F.expr("filter(_places, (p, i) -> i % _rows = _turn)"))).drop("_turn"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
