@@ -2,7 +2,8 @@
 
 A document is a run of byte tokens and an end mark.  Documents longer than the
 largest length are cut into pieces of it; nothing is dropped.  Documents are
-dealt to shards by hash of their id, a bounded number to each, and a shard packs
+dealt to shards by hash of their id and place in the table, so that repeated ids
+spread too; a shard gets about ``shard_rows`` pieces, and a shard packs
 its pieces in decreasing length: each goes to the open bin it fills best, or a
 new bin is opened at the permitted length of least cost per expected token.
 All upper limits on the opening length are tried jointly with that rule, each
@@ -10,8 +11,9 @@ plan is finished by downsizing every bin to the least length that holds its
 contents, and the cheapest plan is kept.
 
 Cases: a null or empty text is its end mark alone.  Equal rows are packed as
-often as they occur.  Ties go by id, then piece.  An empty table gives an empty
-result.
+often as they occur.  Ties go by id, then piece.  A very long text is cut into
+pieces and nothing of it is lost.  Extra columns, whatever their names, take no
+part.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -93,18 +95,19 @@ def packed(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities:
     """One row per piece: key, piece, start (in bytes), length, bin_id, bin_offset and capacity of its bin."""
     capacities = tuple(sorted(capacities))
     largest, kind = capacities[-1], docs.schema[key].dataType.simpleString()
-    sized = docs.select(F.col(key).alias("_key"), (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("long").alias("_size"))
+    sized = docs.select(F.col(key).alias("_key"), F.monotonically_increasing_id().alias("_place"), (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("long").alias("_size"))
     pieces = sized.agg(F.sum(F.ceil(F.col("_size") / largest))).first()[0] or 0
     shards = max(1, -(-int(pieces) // shard_rows))
     items = (
         sized.withColumn("piece", F.explode(F.expr(f"sequence(0, cast((_size - 1) div {largest} AS int))")))
         .withColumn("start", F.col("piece").cast("long") * largest)
         .withColumn("length", F.least(F.col("_size") - F.col("start"), F.lit(largest)).cast("int"))
-        .withColumn("shard", F.pmod(F.xxhash64(F.col("_key").cast("string"), "piece"), F.lit(shards)).cast("int"))
+        .withColumn("shard", F.pmod(F.xxhash64(F.col("_key").cast("string"), "_place", "piece"), F.lit(shards)).cast("int"))
         .select("_key", "piece", "start", "length", "shard")
     )
     schema = f"_key {kind}, piece int, start long, length int, bin_id string, bin_offset int, capacity int"
-    return items.groupBy("shard").applyInPandas(_pack(capacities, cost, key), schema).withColumnRenamed("_key", key)
+    # dealt by number: shards cost Python time, not the bytes by which small partitions would be put together
+    return items.repartition(shards, "shard").groupBy("shard").applyInPandas(_pack(capacities, cost, key), schema).withColumnRenamed("_key", key)
 
 
 def sequences(docs: DataFrame, plan: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
