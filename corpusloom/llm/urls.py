@@ -13,7 +13,9 @@ starts with the rule's; the longest fitting rule decides before the model does.
 
 Cases: a null URL, or one without ``://``, has an empty host and path, fits no
 rule and is judged on no words, by the prior alone.  Equal rows get equal
-verdicts.  Very long URLs are segmented whole.
+verdicts.  Very long URLs and words are segmented whole.  Ties between splits go
+to the one whose last word is longer.  Extra columns, whatever their names, take
+no part.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ BAD = frozenset("adult ads bet bets betting casino cheap escort farm gambling lo
 COMMON = "www blog shop store news mail web site online world home page search free best the and for my your get buy sale deals forum wiki help info data cloud tech game games music video photo book books travel food health art car cars auto job jobs city live life love time today daily".split()
 
 BUCKETS = 1 << 16
+#: Letters of a string that is no word, at most, and by which title words are looked up in names: longer words by their first letters.
 _LONGEST = 20
 _A_TO_Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -81,14 +84,14 @@ def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def title_words(pages: DataFrame, urls: DataFrame, html: str = "html") -> tuple[dict[str, int], int, int]:
     """Counts of the title words that stand in names of ``urls`` (host, path) or are common; the largest count of all title words, and the sum without bad words."""
     title = F.lower(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(?i)<title[^>]*+>([^<]*+)", 1))
-    words = pages.select(F.explode(F.regexp_extract_all(title, F.lit("[a-z]{2,20}"), F.lit(0))).alias("word"))
+    words = pages.select(F.explode(F.regexp_extract_all(title, F.lit(r"\p{L}{2,}"), F.lit(0))).alias("word"))
     # written first, so that the executors and not the driver merge what each part holds
     scratch = Scratch(pages.sparkSession, "urls")
     counts = scratch.table(words.groupBy("word").count(), "words")
     most, total = counts.agg(F.coalesce(F.max("count"), F.lit(1)), F.coalesce(F.sum(F.when(~F.col("word").isin(*BAD), F.col("count"))), F.lit(0))).first()
     names = urls.select(F.explode(F.regexp_extract_all(F.lower(F.concat_ws(" ", "host", "path")), F.lit("[a-z]+"), F.lit(0))).alias("name")).distinct()
     used = names.mapInArrow(_substrings, "word string").distinct()
-    known = counts.join(used, "word", "left_semi").unionByName(counts.filter(F.col("word").isin(*COMMON))).distinct()
+    known = counts.withColumn("_start", F.left("word", F.lit(_LONGEST))).join(used.withColumnRenamed("word", "_start"), "_start", "left_semi").drop("_start").unionByName(counts.filter(F.col("word").isin(*COMMON))).distinct()
     rows = scratch.table(known, "known").collect()
     return {r["word"]: r["count"] for r in rows}, most, total
 
@@ -106,18 +109,23 @@ class Segmenter:
         total = (sum(own.values()) if total is None else total) + most * len(full.keys() - own.keys())
         self.cost = {w: math.log(total / n) for w, n in full.items()}
         self.total = math.log(total)
-        self.split = lru_cache(maxsize=100_000)(self._split)
+        self._ready()
 
-    def _unknown(self, length: int) -> float:
-        return self.total + 2.3 * length
+    def _ready(self) -> None:
+        self.long = sorted({len(w) for w in self.cost if len(w) > _LONGEST})
+        self.split = lru_cache(maxsize=100_000)(self._split)
 
     def _split(self, name: str) -> tuple[str, ...]:
+        """Least total cost: a known word of any length costs its own, any other string of up to _LONGEST letters ``total`` and 2.3 a letter."""
         best, back = [0.0], [0]
         for end in range(1, len(name) + 1):
             options = []
             for start in range(max(0, end - _LONGEST), end):
-                word = name[start:end]
-                options.append((best[start] + self.cost.get(word, self._unknown(end - start)), start))
+                cost = self.cost.get(name[start:end])
+                options.append((best[start] + (self.total + 2.3 * (end - start) if cost is None else cost), start))
+            for length in self.long:
+                if length <= end and (cost := self.cost.get(name[end - length : end])) is not None:
+                    options.append((best[end - length] + cost, end - length))
             cost, start = min(options)
             best.append(cost)
             back.append(start)
@@ -176,7 +184,7 @@ def token_weights(counts: np.ndarray, backing: float = 50.0) -> np.ndarray:
 def _revived(cost: dict[str, float], total: float) -> Segmenter:
     own = Segmenter.__new__(Segmenter)
     own.cost, own.total = cost, total
-    own.split = lru_cache(maxsize=100_000)(own._split)
+    own._ready()
     return own
 
 
