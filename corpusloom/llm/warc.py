@@ -14,8 +14,9 @@ rows for that file, so a lost attempt leaves an unused file and nothing else.
 
 Cases: a null payload is an empty one, and empty payloads are equal payloads.  A
 null URL gives a record without a target.  Of equal rows (same id, same payload)
-one is the response.  A null id is the smallest.  An empty table writes no
-record and reads back none.
+one is the response.  A null id is the smallest.  A very long payload is one
+member like any other.  Extra columns, whatever their names, take no part.  An
+empty table writes no record and reads back none.
 """
 
 from __future__ import annotations
@@ -77,9 +78,22 @@ def parse(raw: bytes) -> dict:
     return out | {"payload": payload}
 
 
+#: Schemes under which Hadoop names stores that Arrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def _opened(folder: str) -> tuple[fs.FileSystem, str]:
+    """File system and path of a folder: local, HDFS, S3 (also as s3a), GCS or Azure; others raise."""
+    scheme, colon, rest = folder.partition("://")
+    try:
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}" if colon else folder)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError) as e:
+        raise ValueError(f"archives cannot be kept under {folder}: {e}") from e
+
+
 def _write(folder: str, level: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _opened(folder)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.gz"
         out, at, last = None, 0, None
         for batch in batches:
@@ -138,7 +152,7 @@ _FIELDS = (("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_dig
 
 def _read(folder: str, payloads: bool):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _opened(folder)
         opened, source = None, None
         for batch in batches:
             places = list(zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True))
