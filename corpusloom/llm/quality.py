@@ -11,8 +11,10 @@
 
 Cases: a null or empty text gets no votes, score 0 and is rejected; a text of a few words
 is too short for the labellers and stays.  Without a
-vote for "bad" anywhere every other document is kept.  Equal texts get equal
-scores.  An empty table gives an empty result.
+vote for "bad" anywhere every other document is kept.  Equal texts, repeated
+rows among them, get equal scores.  A very long text is read whole.  Columns
+whose names clash with the output's are kept apart by :func:`good_documents`.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.store import Scratch
 from corpusloom.llm.words import SPACED, WHITESPACE, Words, mix, word_batches
 
 DIMENSIONS = 1 << 15
 SAMPLE_ROWS = 8000
+#: Bytes of features of that sample that reach the driver; rows beyond, in the order of the hash, do not train.
+SAMPLE_BYTES = 64 << 20
 #: Labellers are silent on texts with fewer words than this; the scorer alone judges them.
 LEAST_WORDS = 5
 
@@ -223,13 +228,20 @@ def score_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
                 for d, p in enumerate(patterns):
                     low, high = cuts[d], cuts[d + 1]
                     out.append((p, (cell[low:high] % DIMENSIONS).astype(np.uint16).tobytes(), sums[low:high].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.binary(), pa.binary()))], ["votes", "x", "v"])
+            arrays = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.string(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column(1)], ["votes", "x", "v", "h"])
 
     share = min(1.0, sample_rows / max(total, 1))
     bound = int((share - 0.5) * 2**64) if share < 1 else 2**63 - 1
-    sampled = docs.filter((F.xxhash64(F.col(key).cast("string")) <= F.lit(max(bound, -(2**63)))) & (F.length(text) > 0)).select(text)
-    training = sorted(map(tuple, sampled.mapInArrow(describe, "votes string, x binary, v binary").collect())) if posterior else []
-    training = [r for r in training if r[0] != silent]
+    order = F.xxhash64(F.col(key).cast("string"))
+    sampled = docs.filter((order <= F.lit(max(bound, -(2**63)))) & (F.length(text) > 0)).select(text, order.alias("h"))
+    training = []
+    if posterior:
+        described = Scratch(docs.sparkSession, "quality").table(sampled.mapInArrow(describe, "votes string, x binary, v binary, h long").filter(F.col("votes") != silent), "sample")
+        sizes = sorted(map(tuple, described.select("h", F.octet_length("x") + F.octet_length("v")).collect()))
+        fits = int(np.searchsorted(np.cumsum([n for _, n in sizes]), SAMPLE_BYTES, side="right"))
+        described = described if fits == len(sizes) else described.filter(F.col("h") < sizes[fits][0])
+        training = sorted(map(tuple, described.select("votes", "x", "v").collect()))
     weight, bias = _train(
         [np.frombuffer(r[1], np.uint16).astype(np.int64) for r in training],
         [np.frombuffer(r[2], np.float32) for r in training],
@@ -254,3 +266,11 @@ def score_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", samp
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     return docs.select(F.col(text).alias("_text"), *names).mapInArrow(apply, f"{kinds}, votes string, posterior double, score double, kept boolean")
+
+
+def good_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier keeps; columns may have any names."""
+    names = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    judged = score_quality(own, names[key], names[text], extra=tuple(n for c, n in names.items() if c != key))
+    return judged.filter("kept").select(*[F.col(n).alias(c) for c, n in names.items()])
