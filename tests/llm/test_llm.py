@@ -6,6 +6,8 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -66,24 +68,55 @@ def test_near_duplicates_equal_brute_force(spark, size):
     assert got == brute_components(values, size, 80)
 
 
-def test_dense_groups_equal_brute_force(spark, monkeypatch):
-    """A chain of drifting copies: larger nodes, pivots, deeper levels and the cluster-wide component rounds."""
-    monkeypatch.setattr(near, "SMALL", 4)
-    monkeypatch.setattr(near, "FEW", 3)
-    monkeypatch.setattr(components, "ONE_TASK", 0)
-    monkeypatch.setattr(near, "BLOCK_BYTES", 2000)
-    pick, words, values = random.Random(5), WORDS[:60], []
-    for _ in range(70):
+def drifting(seed, n=70):
+    pick, words, values = random.Random(seed), WORDS[:60], []
+    for _ in range(n):
         words = list(words)
         words[pick.randrange(len(words))] = f"n{pick.randrange(10**6)}"
         values.append(" ".join(words))
+    return values
+
+
+@pytest.mark.parametrize("few", [0, 3, 10**6])
+def test_dense_groups_equal_brute_force(spark, monkeypatch, few):
+    """A chain of drifting copies: chunked nodes, visits, deeper levels, split centres and the cluster-wide component rounds."""
+    for module, name, value in ((near, "LIMIT", 4), (near, "PIVOTS", 1), (near, "HOOKS", 1), (near, "FEW", few), (near, "MEMBERS", 2), (components, "ONE_TASK", 0)):
+        monkeypatch.setattr(module, name, value)
+    values = drifting(5)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near.near_duplicates(frame(spark, values, False), shingle=2).collect()}
     assert got == brute_components(values, 2, 80)
 
 
+@pytest.mark.parametrize("percent", [60, 75])
+def test_other_thresholds_equal_brute_force(spark, percent):
+    """Small sets too: at 75 of 100, three shingles are linked with four."""
+    values = [*texts(percent), "a b c d", "a b c d e", "a b c", "a b", *drifting(7, 30)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near.near_duplicates(frame(spark, values), shingle=2, percent=percent).collect()}
+    assert got == brute_components(values, 2, percent)
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        whole = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)
+        n = int(rng.integers(1, 2500))
+        sets = [np.unique(whole[: n + int(rng.integers(0, n // 2 + 1))]), np.unique(whole[int(rng.integers(0, n // 4 + 1)) : n])]
+        odd = near._Parities([near._parities(x) for x in sets])
+        apart = odd.apart(np.array([0, 1]), np.array([1, 0]))
+        assert apart[0] == apart[1] <= len(np.setxor1d(*sets))
+
+
+def test_too_high_a_recall_raises():
+    with pytest.raises(ValueError, match="trees"):
+        near.trees_for(12, 0.4, 0.999999999)
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     docs = frame(spark, ["a b c d e f g h"] * 3 + ["other words stand here in this one", None])
     assert sorted(r["doc_id"] for r in near.without_near_duplicates(docs).collect()) == [0, 3, 4]
+    long = " ".join(f"v{i}" for i in range(60_000))
+    docs = frame(spark, [long, long + " more", "short text"])
+    assert sorted(r["doc_id"] for r in near.without_near_duplicates(docs.unionByName(docs)).collect()) == [0, 2]
     assert near.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
@@ -320,7 +353,7 @@ def test_mixing_stays_within_a_block(spark):
     seen = order.source.where(order.source.notna(), None)
     for s, a in slots.items():
         hits = np.cumsum([x == s for x in seen])
-        assert np.abs(hits - (order.slot.to_numpy() + 1) * a / 100).max() < 1.0001
+        assert np.abs(100 * hits - (order.slot.to_numpy() + 1) * a).max() < 100
     twice = docs.unionByName(docs.filter("doc_id < 3"))
     full = mixing.mixed(twice, block=4)
     assert full.columns == docs.columns and full.count() == mixing.schedule(twice, block=4).count()
@@ -345,7 +378,38 @@ def test_mixing_stays_within_a_block_of_the_true_weights(spark):
     order = plan.sort_values("slot")
     assert order.slot.tolist() == list(range(len(order))) and set(plan.doc_id) == set(range(len(rows)))
     hits = np.cumsum(order.source.to_numpy() == "a")
-    assert np.abs(hits - (order.slot.to_numpy() + 1) / 3).max() < 1.0001
+    assert np.abs(3 * hits - (order.slot.to_numpy() + 1)).max() < 3
+
+
+def test_schedule_equals_a_plain_simulation(spark):
+    """Every slot by the definition: of the blocks released by then and not yet run, the one of earliest deadline, then first source."""
+    sizes = {None: 3, "a": 90, "b": 41, "c": 7, "d": 1}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    plan = mixing.schedule(spark.createDataFrame(rows, "doc_id long, source string"), block=4).toPandas()
+    weight = {s: Fraction(n**0.7) for s, n in sizes.items()}
+    total, blocks = sum(weight.values()), {s: -(-n // 4) for s, n in sizes.items()}
+    done, slot, want = dict.fromkeys(sizes, 0), 0, {}
+    while any(done[s] < blocks[s] for s in sizes):
+        free = [(math.ceil((done[s] + 1) * total / weight[s]), i, s) for i, s in enumerate(sizes) if math.floor(done[s] * total / weight[s]) <= slot]
+        deadline, _, s = min(free)
+        want[slot] = s, done[s] % blocks[s], done[s] // blocks[s], deadline
+        done[s] += 1
+        slot += 1
+        for x in sizes:
+            assert abs(done[x] - slot * weight[x] / total) < 1
+    got = {r.slot: (None if r.source is None or r.source != r.source else r.source, r.block, r.epoch, r.deadline) for r in plan.itertuples()}
+    assert got == {k: v for k, v in want.items() if k in got} and set(want) - set(got) == set()
+    for (source, _, epoch), own in plan.groupby(["source", "block", "epoch"], dropna=False):
+        assert len(own) <= 4 and own.slot.nunique() == 1 and (epoch > 0 or source is not None)
+    assert all(len(own) == n for s, n in sizes.items() for own in [plan[(plan.source.isna() if s is None else plan.source == s) & (plan.epoch == 0)]])
+
+
+def test_mixing_of_repeated_rows_with_a_map(spark):
+    docs = spark.createDataFrame([(1, "a", {"x": 1}), (1, "a", {"x": 2}), (1, "a", {"x": 2}), (2, "b", None)], "doc_id long, source string, slot map<string,int>")
+    out = mixing.mixed(docs, block=1)
+    assert out.columns == docs.columns
+    got, own = (Counter(str(r) for r in df.collect()) for df in (out, docs))
+    assert set(got) == set(own) and all(got[r] >= n for r, n in own.items())
 
 
 def test_packing_fits_and_keeps_everything(spark):
@@ -367,6 +431,131 @@ def test_packing_fits_and_keeps_everything(spark):
     assert all(b"".join(bytes(x) for x in own.bytes) == (values[i] or "").encode() for i, own in parts.groupby("doc_id"))
 
 
+def plain_plan(lengths, capacities, limit, cost):
+    """Best fit decreasing by the definition: every open bin is looked at."""
+    room, size, bins = [], [], []
+    for i, n in enumerate(lengths):
+        fit = min((r for r in room if r >= n), default=None)
+        if fit is not None:
+            at = max(b for b, r in enumerate(room) if r == fit)
+        else:
+            prices = []
+            for c in capacities:
+                if c >= n and (c <= limit or not prices):
+                    rest = sum(x for x in lengths[i + 1 :] if x <= c - n)
+                    prices.append((cost(c) / (n + min(c - n, rest)), c))
+            at = len(room)
+            room.append(min(prices)[1])
+            size.append(0)
+        room[at] -= n
+        size[at] += n
+        bins.append(at)
+    down = [next(c for c in capacities if c >= s) for s in size]
+    return down, sum(map(cost, down))
+
+
+def test_packing_equals_plain_best_fit():
+    pick = random.Random(6)
+    for _ in range(40):
+        lengths = sorted((pick.choice((pick.randint(1, 20), pick.randint(1, 200))) for _ in range(pick.randint(1, 60))), reverse=True)
+        for limit in (32, 64, 200):
+            bins, offsets, down, total = packing._plan(lengths, (32, 64, 200), limit, packing.cost_of)
+            want, price = plain_plan(lengths, (32, 64, 200), limit, packing.cost_of)
+            assert sorted(down) == sorted(want) and abs(total - price) < 1e-6
+
+
+def test_segmentation_equals_brute_force():
+    pick = random.Random(3)
+    own = urls.Segmenter({"".join(pick.choices("ab", k=pick.randint(1, 4))): pick.randint(1, 30) for _ in range(12)} | {"ab" * 17: 9})
+    price = lambda w: own.cost.get(w, own.total + 2.3 * len(w))
+    for _ in range(60):
+        name = "".join(pick.choices("abc", k=pick.randint(1, 9)))
+        splits = ([name[i:j] for i, j in zip([0, *cut], [*cut, len(name)], strict=True)] for k in range(len(name)) for cut in map(list, combinations(range(1, len(name)), k)))
+        got = own.split(name)
+        assert "".join(got) == name and abs(sum(map(price, got)) - min(sum(map(price, s)) for s in splits)) < 1e-9
+    assert own.split("c" * 30 + "ab" * 17)[-1] == "ab" * 17 and len(own.split("z" * 70)) == 4
+
+
+def test_url_model_equals_plain_counts(spark):
+    rows = [(i, u, "<title>green garden café</title>") for i, u in enumerate(["http://greengarden.example/a", "http://cheappills.example/a", "http://casino9.example/green", None, "http://garden.example/b/12"] * 5)]
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), rules=()).collect()
+    seen, urls_of = [Counter(), Counter()], [0, 0]
+    for r in got:
+        bad = any(w in urls.BAD for w in r["words"])
+        urls_of[bad] += 1
+        seen[bad].update(map(urls._bucket, r["words"]))
+    total = sum(sum(c.values()) for c in seen)
+    def share(k, b):
+        common = (seen[0][b] + seen[1][b] + 1) / (total + urls.BUCKETS)
+        return (seen[k][b] + 50 * common) / (sum(seen[k].values()) + 50)
+    for r in got:
+        want = math.log((urls_of[1] + 1) / (urls_of[0] + 1)) + sum(math.log(share(1, b)) - math.log(share(0, b)) for b in map(urls._bucket, r["words"]))
+        assert abs(r["score"] - want) < 1e-9 and r["verdict"] == ("block" if want > 0 else "allow")
+
+
+def test_title_words_are_whole(spark):
+    long = "donaudampfschifffahrtsgesellschaft"
+    rows = [(1, f"http://blue{long}.example/", f"<title>{long} Café blue</title>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts, most, total = urls.title_words(pages, pages.select(*[c.alias(n) for c, n in zip(urls.host_and_path(F.col("url")), ("host", "path"), strict=True)]))
+    assert counts[long] == counts["blue"] == 1 and "caf" not in counts and total == 3
+    assert urls.judge(pages).first()["words"][:2] == ["blue", long]
+
+
+def test_em_equals_a_plain_version():
+    counts = {"110": 40, "100": 9, "001": 7, "000": 30, "1-1": 12, "0-0": 6, "011": 3}
+    patterns = sorted(counts)
+    post = {p: 0.1 if "0" in p else 0.9 for p in patterns}
+    for _ in range(100):
+        n = sum(counts.values())
+        prior = min(max(sum(counts[p] * post[p] for p in patterns) / n, 0.01), 0.99)
+        new = {}
+        for p in patterns:
+            odds = prior / (1 - prior)
+            for j, v in enumerate(p):
+                chance = []
+                for side in (lambda q: post[q], lambda q: 1 - post[q]):
+                    cells = {x: 0.5 + sum(counts[q] * side(q) for q in patterns if q[j] == x) for x in "-01"}
+                    chance.append(cells[v] / sum(cells.values()))
+                odds *= chance[0] / chance[1]
+            new[p] = odds / (1 + odds)
+        post = new
+    got = quality.fit_labellers(counts)
+    assert all(abs(got[p] - post[p]) < 1e-6 for p in patterns)
+
+
+def test_quality_stage_with_clashing_columns(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs = frame(spark, ["A plain text of several words, as one reads it.", None, "||| @@@ ||| ### ||| $$$ ||| %%% |||"] * 2).withColumns({c: F.lit(3) for c in ("votes", "score", "posterior", "kept", "_text", "h", "x.y")})
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 200)
+    out = corpus_pipeline.quality_stage(spark, docs.unionByName(docs), "")
+    assert out.columns == docs.columns and Counter(r["doc_id"] for r in out.collect())[0] == 2
+    assert corpus_pipeline.quality_stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_suspects_leave_in_cells(spark, monkeypatch):
+    """One group over several cells of a partition, with the largest id repeated and null ids."""
+    monkeypatch.setattr(exact, "GATHERED", 40)
+    monkeypatch.setattr(exact, "OWNED", 3)
+    part = iter([((i, t), (9, 0, b"") if not k else None) for k, (i, t) in enumerate([(5, "same text of a group")] * 7 + [(None, "other"), (None, "other")])])
+    prints = [exact._fingerprint(hashlib.sha256(t.encode()).digest()) for t in ("same text of a group", "other")]
+    check = prints[0]
+    code = golomb.encode(np.sort(np.array(prints, np.uint64)), 0, 1 << exact.FINGERPRINT_BITS)
+    cells = list(exact._split(3, (((i, t), (9, check, code)) if head else ((i, t), None) for (i, t), head in part)))
+    assert len({c[0] for c in cells}) > 1 and sum(len(c[3]) for c in cells) == 9
+    docs = spark.createDataFrame([(5, "same text of a group")] * 7 + [(None, "other")] * 3 + [(4, "same text of a group")], "doc_id long, text string").repartition(2)
+    docs = Scratch(spark, "t").table(docs, "docs")
+    kept = [r for r in exact.exact_duplicates(docs).collect() if r["kept"]]
+    assert sorted((r["keep_id"] or 0, r["group_size"]) for r in kept) == [(0, 3), (5, 8)] and exact.without_duplicates(docs).count() == 2
+
+
+def test_archives_need_a_known_store():
+    assert warc._opened("/tmp/x")[1] == "/tmp/x"
+    with pytest.raises(ValueError, match="cannot be kept"):
+        warc._opened("dbfs://x/y")
+
+
 def test_pipeline_equals_brute_force(spark):
     import corpus_pipeline
 
