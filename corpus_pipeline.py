@@ -2,7 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and read again as the next stage's docs.  All but the last keep the
-columns of documents.
+columns of documents, whatever further ones there are.
+
+Cases: null and empty texts are rejected by the first stage; the later ones take
+them as empty texts.  Null ids are ids, the smallest ones.  Of repeated rows the
+second stage leaves one.  Ties go to the largest id in the second and to the
+least in the third stage.  Very long texts are read whole and cut only into
+pieces of bins by the last.  Every stage gives an empty result for an empty one.
 """
 
 from __future__ import annotations
@@ -17,9 +23,7 @@ from corpusloom.session import ship
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
     ship(spark)
-    columns = docs.columns
-    others = tuple(c for c in columns if c != "doc_id")
-    return quality.score_quality(docs, extra=others).filter("kept").select(*columns)
+    return quality.good_documents(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
