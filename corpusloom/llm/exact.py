@@ -183,12 +183,10 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that :func:`exact_duplicates` keeps."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "exact")
-    found = scratch.table(exact_duplicates(docs, key, text), "found").select(F.col(key).alias("_id"), "keep_id", "group_size", F.unhex("text_sha256").alias("_sha"))
+    found = Scratch(spark, "exact").table(exact_duplicates(docs, key, text), "found").select(F.col(key).alias("_id"), "keep_id", "group_size", F.unhex("text_sha256").alias("_sha"))
     same_id = F.col("_id").eqNullSafe(F.col("keep_id"))
-    # written, so that their true size decides whether they are broadcast or the texts are shuffled
-    dropped = scratch.table(found.filter(~same_id).select("_id", "_sha").distinct(), "dropped")
-    repeated = scratch.table(found.filter(same_id & (F.col("group_size") > 1)).groupBy("_id", "_sha").agg(F.count("*").alias("n")).filter("n > 1").select("_id", "_sha"), "repeated")
+    dropped = found.filter(~same_id).select("_id", "_sha").distinct()
+    repeated = found.filter(same_id & (F.col("group_size") > 1)).groupBy("_id", "_sha").agg(F.count("*").alias("n")).filter("n > 1").select("_id", "_sha")
     own = docs.withColumn("_own", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     match = lambda few: F.col(key).cast("long").eqNullSafe(few["_id"]) & (F.col("_own") == few["_sha"])
     kept = own.join(dropped, match(dropped), "left_anti")
