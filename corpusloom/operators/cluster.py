@@ -99,9 +99,10 @@ def kmeans(df: DataFrame, vector: str, k: int, seed: int = 42) -> tuple[DataFram
     """Rows with ``cluster``, and the centres (cluster, centroid)."""
     from pyspark.ml.clustering import KMeans
 
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(_vectors(df, vector))
+    own = _vectors(df, vector)
+    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_predicted").fit(own)
     centres = df.sparkSession.createDataFrame([(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centroid array<double>")
-    return model.transform(_vectors(df, vector)).drop("_features"), centres
+    return model.transform(own).withColumn("cluster", F.col("_predicted")).drop("_features", "_predicted"), centres
 
 
 def best_k(df: DataFrame, vector: str, key: str, least: int = 5, most: int = 50, step: int = 2, sample_rows: int = 5000, seed: int = 42) -> tuple[int, dict[int, float]]:
@@ -122,6 +123,17 @@ def auto_kmeans(df: DataFrame, vector: str, key: str, least: int = 5, most: int
     return kmeans(df, vector, k, seed)
 
 
+def projected(df: DataFrame, vector: str) -> DataFrame:
+    """``df`` with x and y, the two principal directions around the mean, for a picture; of rows with a vector."""
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import vector_to_array
+
+    own = _vectors(df.filter(F.col(vector).isNotNull()), vector)
+    centred = StandardScaler(withMean=True, withStd=False, inputCol="_features", outputCol="_centred").fit(own).transform(own)
+    flat = PCA(k=2, inputCol="_centred", outputCol="_flat").fit(centred).transform(centred).withColumn("_xy", vector_to_array("_flat"))
+    return flat.withColumns({"x": F.col("_xy")[0], "y": F.col("_xy")[1]}).drop("_features", "_centred", "_flat", "_xy")
+
+
 def clustered(df: DataFrame, vector: str, key: str, given: str | None = None, least_clusters: int = 3, **search: int) -> DataFrame:
     """``given`` labels where they name enough clusters (noise -1), else automatic KMeans."""
     if given is not None and df.filter(F.col(given) != -1).select(given).distinct().count() >= least_clusters:

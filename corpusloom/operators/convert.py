@@ -118,8 +118,8 @@ def clean_turns(df: DataFrame) -> Column:
 
 
 def last_answer(turns: DataFrame, conv: str = "conv_id", order: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
-    """Per conversation: the last assistant turn as answer, and all earlier user turns, joined by line ends, as prompt."""
-    own = turns.select(conv, F.col(order).alias("_at"), role_of(F.col(role)).alias("_role"), T.text_of(text).alias("_text"))
+    """Per conversation: the last assistant turn as answer, and all earlier user turns, joined by line ends, as prompt. Texts are stripped, blank turns left out."""
+    own = turns.select(conv, F.col(order).alias("_at"), role_of(F.col(role)).alias("_role"), T.strip(T.text_of(text)).alias("_text")).filter("_text <> ''")
     last = F.max(F.when(F.col("_role") == "assistant", F.struct("_at", "_text")))
     users = F.array_sort(F.collect_list(F.when(F.col("_role") == "user", F.struct("_at", "_text"))))
     found = own.groupBy(conv).agg(last.alias("_last"), users.alias("_users")).filter("_last IS NOT NULL")
@@ -168,7 +168,8 @@ def instruction_and_output(df: DataFrame) -> tuple[Column, Column]:
 def prompt_and_answer(df: DataFrame) -> tuple[Column, Column]:
     """Prompt and answer of dialogues, chats and flat rows: of a dialogue, the last assistant turn and the user turns before it."""
     def of(turns: Column, role: str, value: str) -> tuple[Column, Column]:
-        named = F.transform(turns, lambda m, i: F.struct(role_of(m[role]).alias("r"), T.text_of(m[value]).alias("v"), i.alias("i")))
+        named = F.transform(turns, lambda m, i: F.struct(role_of(m[role]).alias("r"), T.strip(T.text_of(m[value])).alias("v"), i.alias("i")))
+        named = F.filter(named, lambda m: m["v"] != "")
         last = F.try_element_at(F.filter(named, lambda m: m["r"] == "assistant"), F.lit(-1))
         asked = F.filter(named, lambda m: (m["r"] == "user") & (m["i"] < last["i"]))
         return F.array_join(F.transform(asked, lambda m: m["v"]), "\n"), last["v"]

@@ -45,20 +45,23 @@ def duplicate_stats(df: DataFrame, key: str) -> DataFrame:
 
 
 def keep_first(df: DataFrame, key: Column, order: str) -> DataFrame:
-    """The first row, by ``order``, of each key. The aggregate finds it before the shuffle, and no group is gathered."""
-    firsts = df.select(key.alias("_key"), F.col(order).alias("_at")).groupBy("_key").agg(F.min("_at").alias("_at"))
+    """The first row, by ``order``, of each key. The aggregate finds it before the shuffle, and no group is gathered.
+
+    A null key is a key; a null order comes last.  Rows of one order count as one, so ``order`` should name rows.
+    """
+    firsts = df.select(key.alias("_k"), F.col(order).alias("_at")).groupBy("_k").agg(F.min("_at").alias("_at"))
     own = df.withColumn("_key", key)
-    return own.join(firsts, (own["_key"] == firsts["_key"]) & (own[order] == firsts["_at"]), "left_semi").drop("_key")
+    return own.join(firsts, own["_key"].eqNullSafe(firsts["_k"]) & own[order].eqNullSafe(firsts["_at"]), "left_semi").drop("_key")
 
 
 def keep_first_question(df: DataFrame, question: Column, order: str) -> DataFrame:
     """Keep-first on the question without white space and case."""
-    return keep_first(df, identity(T.compacted(question)), order)
+    return keep_first(df, identity(T.compacted(T.text_of(question))), order)
 
 
 def keep_first_prompt(df: DataFrame, prompt: Column, order: str) -> DataFrame:
     """Keep-first on the stripped prompt."""
-    return keep_first(df, identity(T.strip(prompt)), order)
+    return keep_first(df, identity(T.strip(T.text_of(prompt))), order)
 
 
 def top_clusters(df: DataFrame, key: str, order: str, most: int = 50, examples: int = 5, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -288,6 +291,11 @@ def contamination_flags(train: DataFrame, evals: DataFrame, key: str, eval_key:
     return train.join(flags, key, "left")
 
 
+def evaluation_sources(evals: DataFrame, source: str, text: str = "text") -> DataFrame:
+    """Rows and distinct texts of each evaluation source, for the report: they count evaluation rows, not hits."""
+    return evals.groupBy(source).agg(F.count("*").alias("rows"), F.countDistinct(text).alias("distinct_texts"))
+
+
 def contamination_report(flagged: DataFrame) -> DataFrame:
     """total, exact, approx, contaminated, clean and rate, in one row."""
     exact, approx, total = F.count_if(F.col("contamination") == "exact"), F.count_if(F.col("contamination") == "approx"), F.count("*")
@@ -297,14 +305,49 @@ def contamination_report(flagged: DataFrame) -> DataFrame:
     )
 
 
+def gram_hashes(df: DataFrame, key: str, text: Column, n: int, known: frozenset[int] | None = None) -> DataFrame:
+    """(key, grams): sorted distinct 64-bit hashes of each text's character n-grams, of ``known`` ones only where given.
+
+    A text's grams are hashed at once by a polynomial over its code points; a shorter text is one gram.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    wanted = None if known is None else np.sort(np.fromiter(known, dtype=np.int64, count=len(known)))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for value in batch.column(1).to_pylist():
+                points = np.frombuffer((value or "").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
+                width = min(n, len(points))
+                code = np.full(len(points) - width + 1 if width else 0, width, dtype=np.uint64)
+                for i in range(width):
+                    code = (code ^ points[i : len(points) - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+                    code ^= code >> np.uint64(32)
+                own = np.unique(code.view(np.int64))
+                if wanted is not None and len(wanted):
+                    own = own[wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own]
+                rows.append(own if wanted is None or len(wanted) else own[:0])
+            offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+            grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), grams], ["key", "grams"])
+
+    return df.select(F.col(key), text.alias("_text")).mapInArrow(build, f"key {kind}, grams array<long>")
+
+
+#: Distinct grams of the evaluation side up to which they go to every task (8 bytes each); beyond, the training grams are joined.
+KNOWN_GRAMS = 2_000_000
+
+
 def containment(train: DataFrame, evals: DataFrame, key: str, eval_key: str, train_text: Column, eval_text: Column, n: int = 5) -> DataFrame:
     """Extension: the largest share of an evaluation row's n-grams that each training row holds.
 
-    Grams are hashed; the evaluation side has a bounded number of them, and a
-    training row that holds none of the rarest is never joined whole.
+    Grams are 64-bit hashes.  Where the evaluation side has at most KNOWN_GRAMS
+    of them, training rows drop all others in the scan.
     """
-    grams = lambda x: F.array_distinct(T.ngrams(T.dup_normalised(x), n))
-    own = evals.select(F.col(eval_key).alias("_item"), grams(eval_text).alias("_g"))
-    posts = own.select("_item", F.size("_g").alias("_size"), F.explode("_g").alias("gram"))
-    hits = train.select(key, F.explode(grams(train_text)).alias("gram")).join(posts, "gram").groupBy(key, "_item", "_size").agg(F.count("*").alias("_hits"))
+    own = checkpointed(gram_hashes(evals, eval_key, T.dup_normalised(T.text_of(eval_text)), n))
+    posts = own.select(F.col("key").alias("_item"), F.size("grams").alias("_size"), F.explode("grams").alias("gram"))
+    few = posts.select("gram").distinct().limit(KNOWN_GRAMS + 1).toPandas()["gram"]
+    known = frozenset(few.tolist()) if len(few) <= KNOWN_GRAMS else None
+    held = gram_hashes(train, key, T.dup_normalised(T.text_of(train_text)), n, known)
+    hits = held.select(F.col("key").alias(key), F.explode("grams").alias("gram")).join(posts, "gram").groupBy(key, "_item", "_size").agg(F.count("*").alias("_hits"))
     return hits.groupBy(key).agg(F.max(F.col("_hits").cast("double") / F.col("_size")).alias("containment"))

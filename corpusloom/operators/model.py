@@ -9,6 +9,7 @@ generation is costly and may not repeat itself.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate, chain, takewhile
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -81,31 +82,25 @@ def tokenized(df: DataFrame, text: str, make: Callable[[], Encoder], out: str =
     return df.mapInPandas(run, f"{fields}, `{out}` array<int>")
 
 
-def fitted(turns: Sequence[tuple[Sequence[int], Sequence[int]]], most: int, end: int, on_inputs: bool = False, ignored: int = -100) -> tuple[list[int], list[int]]:
-    """Ids and labels of (source, target) turns within ``most`` tokens: each turn is cut in proportion, ends on ``end``, and the first that does not fit ends the sample."""
-    ids: list[int] = []
-    labels: list[int] = []
-    for source, target in turns:
-        source, target = list(source), list(target)
-        whole = len(source) + len(target)
-        if not whole:
-            continue
-        room_s, room_t = int(most * (len(source) / whole)), int(most * (len(target) / whole))
-        source = source[:room_s]
-        if len(target) > room_t - 1:
-            target = target[: room_t - 1]
-        if source[:1] == [end]:
-            source = source[1:]
-        if target[-1:] == [end]:
-            target = target[:-1]
-        if len(ids) + len(source) + len(target) + 1 > most:
-            break
-        ids += [*source, *target, end]
-        labels += [*(source if on_inputs else [ignored] * len(source)), *target, end]
-    return ids, labels
-
-
-def sft_samples(df: DataFrame, dialog: str, make: Callable[[], Encoder], most: int, end: int, on_inputs: bool = False) -> DataFrame:
+def _within(question: Sequence[int], answer: Sequence[int], most: int, end: int) -> tuple[list[int], list[int]]:
+    """A turn whose sides share ``most`` tokens in proportion to their lengths; the answer leaves room for its end mark and carries it."""
+    whole = len(question) + len(answer)
+    asked = list(question[: most * len(question) // whole])
+    told = list(answer[: max(most * len(answer) // whole - 1, 0)])
+    return asked[asked[:1] == [end] :], [*told[: len(told) - (told[-1:] == [end])], end]
+
+
+def fitted(turns: Sequence[tuple[Sequence[int], Sequence[int]]], most: int, end: int, on_inputs: bool = False, ignored: int = -100, begin: Sequence[int] = ()) -> tuple[list[int], list[int]]:
+    """Ids and labels of a dialogue of (question, answer) turns: as many whole turns as fit in ``most`` tokens. ``begin`` opens the first question."""
+    opened = [([*begin, *q] if i == 0 else q, a) for i, (q, a) in enumerate(turns)]
+    cut = [_within(q, a, most, end) for q, a in opened if len(q) or len(a)]
+    ends = accumulate(len(q) + len(a) for q, a in cut)
+    kept = [turn for turn, _ in takewhile(lambda pair: pair[1] <= most, zip(cut, ends, strict=True))]
+    hidden = [(q if on_inputs else [ignored] * len(q), a) for q, a in kept]
+    return [list(chain.from_iterable(chain.from_iterable(side))) for side in (kept, hidden)]
+
+
+def sft_samples(df: DataFrame, dialog: str, make: Callable[[], Encoder], most: int, end: int, on_inputs: bool = False, begin: Sequence[int] = ()) -> DataFrame:
     """input_ids, attention_mask and labels of rendered dialogues (array of query, answer, …); samples without a label go."""
     names = [f for f in df.schema if f.name != dialog]
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in names)
@@ -113,7 +108,7 @@ def sft_samples(df: DataFrame, dialog: str, make: Callable[[], Encoder], most: i
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = make()
         for frame in frames:
-            both = [fitted([(encode(d[i]), encode(d[i + 1])) for i in range(0, len(d) - 1, 2)], most, end, on_inputs) for d in frame[dialog]]
+            both = [fitted([(encode(d[i]), encode(d[i + 1])) for i in range(0, len(d) - 1, 2)], most, end, on_inputs, begin=begin) for d in frame[dialog]]
             yield frame[[f.name for f in names]].assign(input_ids=[b[0] for b in both], attention_mask=[[1] * len(b[0]) for b in both], labels=[b[1] for b in both])
 
     out = df.mapInPandas(run, (fields + ", " if fields else "") + "input_ids array<int>, attention_mask array<int>, labels array<int>")
@@ -125,6 +120,17 @@ def padded(ids: Column, width: Column, value: int) -> Column:
     return F.concat(ids, F.array_repeat(F.lit(value), F.greatest(width - F.size(ids), F.lit(0)).cast("int")))
 
 
+def pair_samples(df: DataFrame, chosen: str, rejected: str, make: Callable[[], Encoder], most: int, pad: int = 0) -> DataFrame:
+    """``df`` with input_ids and attention_mask of both sides, padded to the longer one; pairs with a side of no or more than ``most`` tokens go."""
+    own = tokenized(tokenized(df, chosen, make, "_chosen"), rejected, make, "_rejected")
+    own = own.filter(filters.pair_tokens(F.col("_chosen"), F.col("_rejected"), most))
+    width = F.greatest(F.size("_chosen"), F.size("_rejected"))
+    sides = {name: F.col(f"_{name}") for name in ("chosen", "rejected")}
+    ids = {f"input_ids_{name}": padded(x, width, pad) for name, x in sides.items()}
+    masks = {f"attention_mask_{name}": padded(F.array_repeat(F.lit(1), F.size(x)), width, 0) for name, x in sides.items()}
+    return own.withColumns(ids | masks).drop("_chosen", "_rejected")
+
+
 def self_qa(paragraphs: DataFrame, key: str, text: str, make: Callable[[], Generator], questions: int = 3) -> DataFrame:
     """Question and answer rows of paragraphs, as conversations with their source."""
     asked = generate(paragraphs.withColumn("_ask", P.request("questions", n=F.lit(questions), text=F.col(text))), "_ask", make).drop("attempt", "_ask")

@@ -74,6 +74,11 @@ def accuracy(df: DataFrame, correct: str) -> DataFrame:
     return df.agg(right.alias("correct"), F.count("*").alias("total"), F.try_divide(right.cast("double"), F.count("*")).alias("accuracy"))
 
 
+def first_details(df: DataFrame, order: str, most: int = 20) -> DataFrame:
+    """The first judged rows by position, for a report of fixed size."""
+    return df.orderBy(order).limit(most)
+
+
 def perplexity(df: DataFrame, nll: str, tokens: str) -> DataFrame:
     """exp of the token-weighted loss; infinity where it overflows."""
     loss = F.try_divide(F.sum(nll), F.sum(tokens))

@@ -131,7 +131,7 @@ def components_of_copies(spark, d):
 
 def _scored(spark, d):
     labels = spark.read.parquet(f"{d}/labels.parquet")
-    human, gpt = F.substring("text", 1, 40), F.substring("text", 41, 1_000_000)
+    human, gpt = F.substring("text", 1, 40), F.expr("substring(text, 41)")
     talk = F.array(convert.turn("human", human), convert.turn("gpt", gpt))
     scores = {"deita_score": F.col("quality") * 6.0, "rw_score": 1.0 - 2.0 * F.col("toxic")}
     return _docs(spark, d).join(labels, "doc_id", "left").withColumns(scores | {"conversations": talk})
@@ -354,7 +354,7 @@ def reward_totals(spark, d):
 @query
 def reward_advantages(spark, d):
     """RWD5"""
-    return reward_totals(spark, d).withColumn("advantage", stats.group_advantage("reward", "prompt")).select("doc_id", "advantage")
+    return reward_totals(spark, d).withColumn("advantage", F.round(stats.group_advantage("reward", "prompt"), 6)).select("doc_id", "advantage")
 
 
 @query
@@ -408,9 +408,9 @@ def perplexity(spark, d):
 
 @query
 def calc_accuracy(spark, d):
-    """AGG10"""
+    """ANS4 AGG10"""
     own = _answers(spark, d)
-    return stats.accuracy(own.select(F.regexp_like("said", F.lit("[0-9]")).alias("correct")), "correct")
+    return stats.accuracy(own.select(A.prediction_matches(F.col("said"), F.col("shown")).alias("correct")), "correct")
 
 
 def _vectors(spark, d):
@@ -451,7 +451,8 @@ def kmeans_auto_k(spark, d):
 @query
 def language_routes(spark, d):
     """TXT17 TXT18 FLT20"""
-    mixed = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("中文内容" * 20), F.substring("text", 1, 100))).otherwise(F.col("text"))
+    head = lambda part: F.expr(f"repeat('中文内容', cast(length(text) div {part} AS int) + 1)")
+    mixed = F.when(F.col("doc_id") % 3 == 0, F.concat(head(8), F.col("text"))).when(F.col("doc_id") % 3 == 1, F.concat(head(16), F.col("text"))).otherwise(F.col("text"))
     own = _docs(spark, d).select("doc_id", mixed.alias("m"))
     return own.select("doc_id", filters.language_route(F.col("m"), F.lit("")).alias("route"), T.cjk_share_over(F.col("m"), 0.15).alias("over"))
 

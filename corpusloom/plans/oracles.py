@@ -184,8 +184,8 @@ ORACLE_SQL = {
     "sliding_sft": _SLIDING,
     "ppo_prefixes": f"WITH {_PREFIXES} SELECT conv_id, turn, coalesce(len(history), 0)::BIGINT AS n_history, coalesce(history[1].q, '') AS first_q, text AS question FROM h WHERE role = 'user'",
     "sft_dialog_repair": _REPAIR,
-    "last_answer": """WITH l AS (SELECT conv_id, max(turn) AS last_turn FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
-        SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user' AND turn < last_turn), '') AS prompt, max(text) FILTER (WHERE turn = last_turn) AS answer FROM conversations JOIN l USING (conv_id) GROUP BY conv_id""",
+    "last_answer": f"""WITH c AS (SELECT conv_id, turn, role, {_strip('text')} AS text FROM conversations WHERE {_strip('text')} <> ''), l AS (SELECT conv_id, max(turn) AS last_turn FROM c WHERE role = 'assistant' GROUP BY conv_id)
+        SELECT conv_id, coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'user' AND turn < last_turn), '') AS prompt, max(text) FILTER (WHERE turn = last_turn) AS answer FROM c JOIN l USING (conv_id) GROUP BY conv_id""",
     "render_templates": _templates(),
     "instruction_prompts": f"""SELECT doc_id, md5('### Instruction:' || chr(10) || {_strip('text')} || chr(10) || chr(10) || '### Input:' || chr(10) || lang || chr(10) || chr(10) || '### Response:' || chr(10)) AS plain,
         md5('<|im_start|>system' || chr(10) || lang || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || source || chr(10) || chr(10) || {_strip('text')} || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)) AS chat FROM documents""",
@@ -207,7 +207,12 @@ ORACLE_SQL = {
         SELECT *, CASE WHEN pass_rate < 0.1 THEN 'COLD_START_FAILURE' WHEN pass_rate > 0.8 THEN 'TASKS_TOO_EASY' ELSE 'READY_FOR_GRPO' END AS decision FROM o""",
     "pairwise_accuracy": """WITH m AS (SELECT (n_chars % 1000 - doc_id % 997)::DOUBLE AS m FROM documents), l AS (SELECT list_sort(list(m)) AS v FROM m)
         SELECT count(*) AS pairs, avg((m > 0)::INT::DOUBLE) AS accuracy, avg(m) AS mean_margin, max(v[floor(len(v) * 0.5)::INT + 1]) AS p50, max(v[floor(len(v) * 0.9::DOUBLE)::INT + 1]) AS p90 FROM m, l""",
-    "calc_accuracy": f"WITH {_ANSWERS} SELECT count(*) FILTER (WHERE regexp_matches(said, '[0-9]')) AS correct, count(*) AS total, (count(*) FILTER (WHERE regexp_matches(said, '[0-9]')))::DOUBLE / count(*) AS accuracy FROM a",
+    "calc_accuracy": f"""WITH {_ANSWERS}, b AS (SELECT *, string_split(said, '</think>')[-1] AS part, {_value(_COMMAS.format('shown'))} AS v FROM a),
+        c AS (SELECT CASE WHEN v IS NOT NULL THEN len(list_filter(regexp_extract_all(regexp_replace(part, '[,，]', '', 'g'), '{_NUMBER}'), lambda n: abs(n::DOUBLE - v) < 0.5 OR (v <> 0 AND abs(n::DOUBLE - v) / abs(v) < 0.05))) > 0
+            ELSE contains(regexp_replace(lower(said), '[，。\\s]', '', 'g'), regexp_replace(lower(shown), '[，。\\s]', '', 'g')) END AS correct FROM b)
+        SELECT count(*) FILTER (WHERE correct) AS correct, count(*) AS total, (count(*) FILTER (WHERE correct))::DOUBLE / count(*) AS accuracy FROM c""",
+    "reward_advantages": f"""{_REWARDS}, w AS (SELECT doc_id, prompt, format_reward + accuracy_reward * 2.0 + length_reward * 0.5 AS reward FROM r), g AS (SELECT prompt, avg(reward) AS m, stddev_pop(reward) AS s FROM w GROUP BY prompt)
+        SELECT doc_id, round(CASE WHEN s = 0 THEN 0.0 ELSE (reward - m) / s END, 6)::DOUBLE AS advantage FROM w JOIN g USING (prompt)""",
     "perplexity": "WITH s AS (SELECT sum(n_chars % 13)::DOUBLE AS n, sum(n_chars % 7 + 1)::BIGINT AS tokens FROM documents) SELECT tokens, n / tokens AS loss, round(exp(n / tokens), 9) AS perplexity FROM s",
     "reward_errors": "WITH d AS (SELECT n_chars % 100 / 100.0::DOUBLE AS p, doc_id % 97 / 97.0::DOUBLE AS t FROM documents) SELECT round(avg((p - t) * (p - t)), 9) AS mse, round(avg(abs(p - t)), 9) AS mae, round(avg(ln(1 + exp(t - p))), 9) AS loss FROM d",
     "cluster_balance": f"""WITH {_CLUSTERED}, n AS (SELECT cluster, count(*) AS n FROM e GROUP BY cluster), o AS (SELECT n, row_number() OVER (ORDER BY n, cluster) AS i, row_number() OVER (ORDER BY n DESC, cluster) AS top FROM n WHERE cluster <> -1),
@@ -218,7 +223,7 @@ ORACLE_SQL = {
     "cluster_sizes": f"WITH {_CLUSTERED} SELECT cluster, n AS size, n * 100.0::DOUBLE / (SELECT count(*) FROM e) AS percentage FROM (SELECT cluster, count(*) AS n FROM e GROUP BY cluster) WHERE cluster <> -1",
     "cluster_representatives": f"WITH {_CLUSTERED}, {_MEANS} SELECT cluster, row_number() OVER (PARTITION BY cluster ORDER BY dist, vec_id)::INT AS rank, vec_id FROM g QUALIFY rank <= 5",
     "cluster_keywords": _KEYWORDS,
-    "language_routes": """WITH m AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN repeat('中文内容', 20) || substr(text, 1, 100) ELSE text END AS m FROM documents), s AS (SELECT doc_id, len(regexp_extract_all(m, '[一-鿿]')) AS c, length(m) AS n FROM m)
+    "language_routes": """WITH m AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN repeat('中文内容', (length(text) // 8)::INT + 1) || text WHEN 1 THEN repeat('中文内容', (length(text) // 16)::INT + 1) || text ELSE text END AS m FROM documents), s AS (SELECT doc_id, len(regexp_extract_all(m, '[一-鿿]')) AS c, length(m) AS n FROM m)
         SELECT doc_id, CASE WHEN c > n * 0.3 THEN 'pass' ELSE 'translate' END AS route, c > n * 0.15 AS over FROM s""",
     "contaminated_shapes": f"""{_TALK_FIELDS}, g AS (SELECT conv_id, c, CASE WHEN len(c) >= 2 THEN asked ELSE '' END AS a2, CASE WHEN len(c) >= 2 THEN told ELSE '' END AS t2, asked, told FROM f)
         SELECT conv_id, md5({_strip("array_to_string(list_filter(list_transform(list_filter(c, lambda m: m.f = 'human'), lambda m: m.v), lambda v: v <> ''), ' ')")}) AS asked_all, md5(a2) AS asked, md5(t2) AS told,

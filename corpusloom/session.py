@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -53,6 +55,22 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def shared_path(spark: SparkSession, purpose: str) -> str:
+    """A new folder under the session's checkpoint folder (a temporary one only where none is named), removed when the driver ends."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    path = f"{named.rstrip('/')}/corpusloom-{purpose}-{uuid.uuid4().hex}"
+
+    def remove() -> None:
+        try:
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        except Exception:  # the session has ended: nothing to remove it with
+            return
+
+    atexit.register(remove)
+    return path
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df``, written to the session's checkpoint folder (a temporary one only where none is named) and cut from its lineage."""
     context = df.sparkSession.sparkContext

@@ -16,6 +16,7 @@ from pyspark.sql import types as t
 from corpusloom.functions import text as T
 from corpusloom.functions.schema import SUPERSET, either, field
 from corpusloom.operators.convert import contamination_text, corpus_text
+from corpusloom.operators.sampling import head_split
 
 _BAD = "_corrupt_record"
 
@@ -156,6 +157,21 @@ def exercises(spark: SparkSession, paths: str | Sequence[str], first: int | None
     return own if first is None else own.limit(first)
 
 
+def limited(spark: SparkSession, paths: str | Sequence[str], most: int | None = None) -> DataFrame:
+    """The first ``most`` records by position; raises where there is none."""
+    own = records(spark, paths).orderBy("row_id")
+    return require_rows(own if most is None else own.limit(most), str(paths))
+
+
+def train_and_validation(spark: SparkSession, train: str | Sequence[str], valid: str | Sequence[str] | None = None, percent: float = 10, order: str = "row_id") -> DataFrame:
+    """Records with ``split``: named validation files, or the first ``percent`` of the training rows by ``order`` where none are named."""
+    own = records(spark, train)
+    if valid is None:
+        return head_split(own, percent, order)
+    label = lambda df, name: df.withColumn("split", F.lit(name))
+    return label(own, "train").unionByName(label(records(spark, valid), "valid"), allowMissingColumns=True)
+
+
 def first_questions(spark: SparkSession, paths: str | Sequence[str], most: int | None = None) -> DataFrame:
     """First human texts of conversations; ``most`` counts lines before any is dropped."""
     own = _lines(spark, paths).orderBy("row_id")

@@ -174,6 +174,61 @@ def test_fitting_turns():
     assert model.fitted([([1] * 10, [2] * 10)], 8, 0)[0] == [1] * 4 + [2] * 3 + [0]
 
 
+def test_first_turn_opens_and_keeps_within_its_share():
+    assert model.fitted([([1, 2], [3, 4]), ([5], [6])], 20, 0, begin=(9,))[0] == [9, 1, 2, 3, 4, 0, 5, 6, 0]
+    assert model.fitted([([0, 1], [2, 0]), ([], []), ([3], [4])], 30, 0, on_inputs=True) == [[1, 2, 0, 3, 4, 0]] * 2
+    assert model.fitted([([1] * 3, [2] * 3), ([3] * 3, [4] * 3)], 10, 0)[0] == [1, 1, 1, 2, 2, 2, 0]  # the second turn does not fit
+    assert model.fitted([], 10, 0) == [[], []]
+
+
+def test_keep_first_keeps_one_row_of_null_keys(spark):
+    rows = spark.createDataFrame([(1, None), (2, "a b"), (3, "A b"), (4, None), (None, "c"), (5, "")], "i long, t string")
+    assert {r["i"] for r in dedup.keep_first_question(rows, F.col("t"), "i").collect()} == {1, 2, None}
+    assert {r["i"] for r in dedup.keep_first(rows, F.col("t"), "i").collect()} == {1, 2, 3, None, 5}
+
+
+def test_blank_turns_do_not_answer(spark):
+    turns = [("user", " hi "), ("assistant", "real"), ("user", "\n"), ("assistant", "  ")]
+    rows = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], "conv_id int, turn int, role string, text string")
+    assert tuple(convert.last_answer(rows).select("prompt", "answer").first()) == ("hi", "real")
+    talk = talks(spark, [("x", turns)])
+    assert tuple(talk.select(*convert.prompt_and_answer(talk)).first()) == ("hi", "real")
+
+
+def test_clusters_replace_a_column_of_that_name(spark):
+    rows = spark.createDataFrame([(i, 7, [float(i % 5 == d) for d in range(5)]) for i in range(60)], "id int, cluster int, v array<double>")
+    own, _ = cluster.kmeans(rows, "v", 5)
+    assert set(own.columns) == set(rows.columns) and own.select("cluster").distinct().count() == 5
+    assert cluster.clustered(rows, "v", "id", "cluster", 3, least=5, most=7).select("cluster").distinct().count() == 5
+
+
+@pytest.mark.parametrize("known", [0, 10**6])
+def test_containment_equals_brute_force(spark, monkeypatch, known):
+    monkeypatch.setattr(dedup, "KNOWN_GRAMS", known)
+    pick = random.Random(9)
+    items = ["".join(pick.choices("abcd", k=pick.randint(1, 40))) for _ in range(12)] + [""]
+    docs = ["".join(pick.choices("abcd", k=60)) + items[i % 12][: pick.randint(1, 40)] for i in range(40)] + ["", "ab", None]
+    grams = lambda t: {t[i : i + 5] for i in range(len(t) - 4)} if len(t) > 5 else {t} if t else set()
+    want = {}
+    for i, t in enumerate(docs):
+        shares = [len(grams(t or "") & grams(x)) / len(grams(x)) for x in items if x and grams(t or "") & grams(x)]
+        if shares:
+            want[i] = max(shares)
+    frames = (spark.createDataFrame(list(enumerate(x)), "i long, t string") for x in (docs, items))
+    got = {r["i"]: r["containment"] for r in dedup.containment(next(frames), next(frames).withColumnRenamed("i", "e"), "i", "e", F.col("t"), F.col("t")).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_validation_files(spark, tmp_path):
+    (tmp_path / "t.jsonl").write_text('{"prompt": "p"}\n')
+    (tmp_path / "v.jsonl").write_text('{"prompt": "q"}\n')
+    both = readers.train_and_validation(spark, str(tmp_path / "t.jsonl"), str(tmp_path / "v.jsonl"))
+    assert {(r["prompt"], r["split"]) for r in both.collect()} == {("p", "train"), ("q", "valid")}
+    (tmp_path / "e.jsonl").write_text("\n")
+    with pytest.raises(ValueError, match="no rows"):
+        readers.limited(spark, str(tmp_path / "e.jsonl"))
+
+
 def test_windows_score_each_token_once():
     seen = [t for start, end, first in model.windows(100, 20, 30, 10) for t in range(first, end)]
     assert seen == list(range(20, 100))
