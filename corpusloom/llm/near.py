@@ -116,8 +116,8 @@ def _sketch(own: np.ndarray) -> np.ndarray:
 
 
 def _parities(own: np.ndarray) -> bytes:
-    """Whether an odd number of shingles falls on each of 2 to 4 places a shingle, 64 at least: the places are a power of two."""
-    places = max(64, 1 << (2 * len(own) - 1).bit_length()) if len(own) else 64
+    """Whether an odd number of shingles falls on each of 4 to 8 places a shingle, 64 at least: the places are a power of two."""
+    places = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
     counts = np.bincount((own & _u(places - 1)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
@@ -377,6 +377,30 @@ def _sets(size: int):
     return build
 
 
+#: Bits of the filter that keeps unneeded texts out of the shuffle; its size never grows.
+_FILTER_BITS = 1 << 23
+
+
+def _texts_of(docs: DataFrame, key: str, text: str, needed: DataFrame) -> DataFrame:
+    """Texts of the needed ids, and few others: a filter of fixed size lets them pass in the scan. Where more ids are needed than it can tell apart, they are joined as well."""
+    slot = F.pmod(F.xxhash64(key), F.lit(_FILTER_BITS))
+    ids = needed.select(F.col("id").alias(key))
+    found = ids.select(slot.alias("h")).groupBy(F.expr("cast(h div 8 AS int)").alias("at")).agg(F.expr("bit_or(shiftleft(1, cast(h % 8 AS int)))").alias("bits")).toPandas()
+    marks = np.zeros(_FILTER_BITS // 8, dtype=np.uint8)
+    marks[found["at"].to_numpy()] = found["bits"].to_numpy()
+
+    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(2).to_numpy()
+            yield batch.rename_columns(["_key", "_text", "_slot"]).filter(pa.array((marks[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
+
+    kind = docs.schema[key].dataType.simpleString()
+    sieved = docs.select(F.col(key), F.col(text), slot.alias("_slot")).mapInArrow(sieve, f"_key {kind}, _text string, _slot long")
+    if needed.count() > _FILTER_BITS // 8:
+        sieved = sieved.join(needed.select("id").distinct(), F.col("_key").eqNullSafe(F.col("id")), "left_semi")
+    return sieved.select("_text")
+
+
 def _confirm(percent: int):
     """Rows (block, a, b, own) sorted by block, then a's own set (b null) before its partners' -> links."""
 
@@ -495,8 +519,7 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int, r
             needed = needed.unionByName(held.filter("chunks > 1").select("node")) if chunked else needed
             needed = scratch.table(needed.distinct().join(classes.select("node", "id"), "node"), "needed")
             with small_batches(scratch.spark, 1000):
-                texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(needed.select("id").distinct(), F.col("_key").eqNullSafe(F.col("id")), "left_semi")
-                built = texts.select("_text").mapInArrow(_sets(shingle), "node long, own binary")
+                built = _texts_of(docs, key, text, needed).mapInArrow(_sets(shingle), "node long, own binary")
                 sets = scratch.table(built.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
         links = _linked(pairs, sets, percent, scratch, f"links-{level}")
         labels = connected_components(_edges(labels, links), scratch, f"components-{level}")
