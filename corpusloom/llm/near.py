@@ -116,8 +116,8 @@ def _sketch(own: np.ndarray) -> np.ndarray:
 
 
 def _parities(own: np.ndarray) -> bytes:
-    """Whether an odd number of shingles falls on each of 4 to 8 places a shingle, 64 at least: the places are a power of two."""
-    places = max(64, 1 << (4 * len(own) - 1).bit_length()) if len(own) else 64
+    """Whether an odd number of shingles falls on each of 8 to 16 places a shingle, 64 at least: the places are a power of two."""
+    places = max(64, 1 << (8 * len(own) - 1).bit_length()) if len(own) else 64
     counts = np.bincount((own & _u(places - 1)).astype(np.int64), minlength=places)
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
