@@ -362,11 +362,14 @@ def _sieved(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "oa", "ob").mapInArrow(sieve, "a long, b long")
 
 
-def _sets(size: int):
-    """Name and set of each text."""
+def _sets(size: int, marks: np.ndarray | None = None):
+    """Name and set of each text; with ``marks`` only of texts whose slot is marked."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if marks is not None:
+                h = batch.column(1).to_numpy()
+                batch = batch.filter(pa.array((marks[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
             node, own = [], []
             for words in word_batches(batch.column(0), SPACED):
                 for s in shingle_sets(words, size):
@@ -381,24 +384,29 @@ def _sets(size: int):
 _FILTER_BITS = 1 << 23
 
 
-def _texts_of(docs: DataFrame, key: str, text: str, needed: DataFrame) -> DataFrame:
-    """Texts of the needed ids, and few others: a filter of fixed size lets them pass in the scan. Where more ids are needed than it can tell apart, they are joined as well."""
+def _sets_of(docs: DataFrame, key: str, text: str, needed: DataFrame, size: int) -> DataFrame:
+    """Names and sets of the texts of the needed ids, and of few others: a filter of fixed size lets them pass in the scan.
+
+    Where more ids are needed than it can tell apart, the texts that pass are joined with the ids before sets are built.
+    """
     slot = F.pmod(F.xxhash64(key), F.lit(_FILTER_BITS))
     ids = needed.select(F.col("id").alias(key))
     found = ids.select(slot.alias("h")).groupBy(F.expr("cast(h div 8 AS int)").alias("at")).agg(F.expr("bit_or(shiftleft(1, cast(h % 8 AS int)))").alias("bits")).toPandas()
     marks = np.zeros(_FILTER_BITS // 8, dtype=np.uint8)
     marks[found["at"].to_numpy()] = found["bits"].to_numpy()
+    own = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), slot.alias("_slot"))
+    kind = "node long, own binary"
+    if needed.count() <= _FILTER_BITS // 8:
+        return own.select("_text", "_slot").mapInArrow(_sets(size, marks), kind)
 
     def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = batch.column(2).to_numpy()
-            yield batch.rename_columns(["_key", "_text", "_slot"]).filter(pa.array((marks[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
+            yield batch.filter(pa.array((marks[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1))
 
-    kind = docs.schema[key].dataType.simpleString()
-    sieved = docs.select(F.col(key), F.col(text), slot.alias("_slot")).mapInArrow(sieve, f"_key {kind}, _text string, _slot long")
-    if needed.count() > _FILTER_BITS // 8:
-        sieved = sieved.join(needed.select("id").distinct(), F.col("_key").eqNullSafe(F.col("id")), "left_semi")
-    return sieved.select("_text")
+    sieved = own.mapInArrow(sieve, f"_key {docs.schema[key].dataType.simpleString()}, _text string, _slot long")
+    sieved = sieved.join(needed.select("id").distinct(), F.col("_key").eqNullSafe(F.col("id")), "left_semi")
+    return sieved.select("_text").mapInArrow(_sets(size), kind)
 
 
 def _confirm(percent: int):
@@ -519,7 +527,7 @@ def _grouped(docs: DataFrame, key: str, text: str, shingle: int, percent: int, r
             needed = needed.unionByName(held.filter("chunks > 1").select("node")) if chunked else needed
             needed = scratch.table(needed.distinct().join(classes.select("node", "id"), "node"), "needed")
             with small_batches(scratch.spark, 1000):
-                built = _texts_of(docs, key, text, needed).mapInArrow(_sets(shingle), "node long, own binary")
+                built = _sets_of(docs, key, text, needed, shingle)
                 sets = scratch.table(built.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
         links = _linked(pairs, sets, percent, scratch, f"links-{level}")
         labels = connected_components(_edges(labels, links), scratch, f"components-{level}")
