@@ -28,7 +28,9 @@ whatever their names, take no part.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import json
 from collections.abc import Iterator
 from typing import TYPE_CHECKING
 
@@ -102,35 +104,32 @@ def _suspects(lists: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [head["part"]], "n": [head["n"]], "check": [head["check"]], "suspects": [code]})
 
 
-def _beside(marks: Iterator[tuple]) -> Iterator[tuple | None]:
-    """One element per row of the partition; the first is the partition's answer."""
-    for _, (n, check, suspects) in marks:
-        yield n, check, suspects
-        for _ in range(n - 1):
-            yield None
+def _split(part: int, pairs: Iterator[tuple[str, str]]) -> Iterator[tuple]:
+    """Unique rows at once; suspects gathered by text, in cells of at most GATHERED bytes and one text.
 
-
-def _split(part: int, pairs: Iterator[tuple]) -> Iterator[tuple]:
-    """Unique rows at once; suspects gathered by text, in cells of at most GATHERED bytes and one text."""
+    Each row comes, as JSON, beside one of the partition's answer, whose first one says all.
+    """
     suspects, groups, n, check, seen = frozenset(), {}, 0, 0, 0
     cell, held = part << 32, 0
-    for row, head in pairs:
-        if head is not None:
-            n, check = head[0], head[1]
-            suspects = frozenset(golomb.decode(bytes(head[2])).tolist())
-        text = row[1] or ""
+    for row, answer in pairs:
+        head = json.loads(answer)
+        if "suspects" in head:
+            n, check = head["n"], head["check"]
+            suspects = frozenset(golomb.decode(base64.b64decode(head["suspects"])).tolist())
+        own = json.loads(row)
+        text, ident = own.get("text", ""), own.get("id")
         digest = hashlib.sha256(text.encode())
         code = _fingerprint(digest.digest())
         seen ^= code
         n -= 1
         if code in suspects:
             held += 8 if text in groups else 8 + len(text)
-            groups.setdefault(text, (digest.hexdigest(), []))[1].append(row[0])
+            groups.setdefault(text, (digest.hexdigest(), []))[1].append(ident)
             if held > GATHERED:
                 yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
                 groups, held, cell = {}, 0, cell + 1
         else:
-            yield cell, digest.hexdigest(), None, [row[0]]
+            yield cell, digest.hexdigest(), None, [ident]
     if n or seen != check:
         raise RuntimeError(f"partition {part} returned other rows when it was read again; give exact_duplicates a written table")
     yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
@@ -154,12 +153,14 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
         .applyInPandas(_suspects, "part int, n int, check long, suspects binary")
     )
     answers = scratch.table(answers, "answers")
-    rows = own.rdd
-    marks = answers.rdd.map(lambda r: (r[0], (r[1], r[2], r[3]))).partitionBy(max(1, rows.getNumPartitions()), lambda part: part)
-    more = marks.getNumPartitions() - rows.getNumPartitions()
-    if more:  # a cluster may deal keys to more partitions than asked for; those stay empty
-        rows = spark.sparkContext.union([rows, spark.sparkContext.parallelize([], more)])
-    local = rows.zip(marks.mapPartitions(_beside)).mapPartitionsWithIndex(_split)
+    # both sides are made by the JVM, row for row as strings, so one Python worker per task reads them side by side
+    rows = own.select(F.col(key).alias("id"), F.col(text).alias("text")).toJSON()
+    beside = answers.repartitionById(max(1, rows.getNumPartitions()), "part").select("*", F.explode(F.sequence(F.lit(1), "n")).alias("at"))
+    marks = beside.select(*[F.when(F.col("at") == 1, F.col(c)).alias(c) for c in ("n", "check", "suspects")]).toJSON()
+    if answers.isEmpty():  # an empty table may have no partition at all
+        local = spark.sparkContext.emptyRDD()
+    else:
+        local = rows.zip(marks).mapPartitionsWithIndex(_split)
     local = scratch.table(spark.createDataFrame(local, "part long, sha string, text string, ids array<long>", verifySchema=False), "local")
 
     groups = (
