@@ -111,6 +111,14 @@ def test_too_high_a_recall_raises():
         near.trees_for(12, 0.4, 0.999999999)
 
 
+def test_texts_are_joined_where_the_filter_cannot_tell_ids_apart(spark, monkeypatch):
+    """More ids than a filter of 64 bits holds: texts are joined before their sets are built."""
+    monkeypatch.setattr(near, "_FILTER_BITS", 64)
+    values = texts(2)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near.near_duplicates(frame(spark, values), shingle=2).collect()}
+    assert got == brute_components(values, 2, 80)
+
+
 def test_near_stage_keeps_one_of_each_group(spark):
     docs = frame(spark, ["a b c d e f g h"] * 3 + ["other words stand here in this one", None])
     assert sorted(r["doc_id"] for r in near.without_near_duplicates(docs).collect()) == [0, 3, 4]
@@ -534,6 +542,18 @@ def test_quality_stage_with_clashing_columns(spark, monkeypatch):
     assert corpus_pipeline.quality_stage(spark, docs.limit(0), "").count() == 0
 
 
+def test_rows_and_answers_of_many_partitions_meet(spark):
+    """Partitions without rows, null ids, and texts with quotes, line ends and characters beyond the first plane."""
+    values = ['say "a" \\ b\r\n\t', "\U0001f600 \u2028 é", None, "", "\x00\x01", 'say "a" \\ b\r\n\t', "\U0001f600 \u2028 é"]
+    docs = spark.createDataFrame([(None if i == 5 else i, v) for i, v in enumerate(values)], "doc_id long, text string")
+    for parts in (1, 3, 40):
+        got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) for r in exact.exact_duplicates(docs.repartition(parts)).collect()}
+        keep = {0: 0, 1: 6, 2: 3, 3: 3, 4: 4, None: 0, 6: 6}
+        assert {d: g[0] for d, g in got.items()} == keep
+        assert {d for d, g in got.items() if g[2]} == {0, 3, 4, 6}
+        assert all(g[3] == hashlib.sha256((values[5 if d is None else d] or "").encode()).hexdigest() for d, g in got.items())
+
+
 def test_suspects_leave_in_cells(spark, monkeypatch):
     """One group over several cells of a partition, with the largest id repeated and null ids."""
     monkeypatch.setattr(exact, "GATHERED", 40)
