@@ -104,32 +104,34 @@ def _suspects(lists: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [head["part"]], "n": [head["n"]], "check": [head["check"]], "suspects": [code]})
 
 
-def _split(part: int, pairs: Iterator[tuple[str, str]]) -> Iterator[tuple]:
-    """Unique rows at once; suspects gathered by text, in cells of at most GATHERED bytes and one text.
+def _read(pairs: Iterator[tuple[str, str]]) -> Iterator[tuple]:
+    """Rows (id, text), each beside the partition's answer (n, check, suspects) or nothing, from their JSON."""
+    for row, answer in pairs:
+        own, head = json.loads(row), json.loads(answer)
+        yield (own.get("id"), own.get("text")), (head["n"], head["check"], base64.b64decode(head["suspects"])) if head.get("n") else None
 
-    Each row comes, as JSON, beside one of the partition's answer, whose first one says all.
-    """
+
+def _split(part: int, pairs: Iterator[tuple]) -> Iterator[tuple]:
+    """Unique rows at once; suspects gathered by text, in cells of at most GATHERED bytes and one text."""
     suspects, groups, n, check, seen = frozenset(), {}, 0, 0, 0
     cell, held = part << 32, 0
-    for row, answer in pairs:
-        head = json.loads(answer)
-        if "suspects" in head:
-            n, check = head["n"], head["check"]
-            suspects = frozenset(golomb.decode(base64.b64decode(head["suspects"])).tolist())
-        own = json.loads(row)
-        text, ident = own.get("text", ""), own.get("id")
+    for row, head in pairs:
+        if head is not None:
+            n, check = head[0], head[1]
+            suspects = frozenset(golomb.decode(bytes(head[2])).tolist())
+        text = row[1] or ""
         digest = hashlib.sha256(text.encode())
         code = _fingerprint(digest.digest())
         seen ^= code
         n -= 1
         if code in suspects:
             held += 8 if text in groups else 8 + len(text)
-            groups.setdefault(text, (digest.hexdigest(), []))[1].append(ident)
+            groups.setdefault(text, (digest.hexdigest(), []))[1].append(row[0])
             if held > GATHERED:
                 yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
                 groups, held, cell = {}, 0, cell + 1
         else:
-            yield cell, digest.hexdigest(), None, [ident]
+            yield cell, digest.hexdigest(), None, [row[0]]
     if n or seen != check:
         raise RuntimeError(f"partition {part} returned other rows when it was read again; give exact_duplicates a written table")
     yield from ((cell, sha, t, ids) for t, (sha, ids) in groups.items())
@@ -160,7 +162,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     if answers.isEmpty():  # an empty table may have no partition at all
         local = spark.sparkContext.emptyRDD()
     else:
-        local = rows.zip(marks).mapPartitionsWithIndex(_split)
+        local = rows.zip(marks).mapPartitionsWithIndex(lambda part, pairs: _split(part, _read(pairs)))
     local = scratch.table(spark.createDataFrame(local, "part long, sha string, text string, ids array<long>", verifySchema=False), "local")
 
     groups = (
