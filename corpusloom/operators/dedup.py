@@ -157,15 +157,16 @@ def banded(df: DataFrame, key: str, text: Column, n: int, threshold: float, perm
     return own.select("key", F.explode(bands).alias("_b")).select(F.col("_b.band").alias("band"), F.col("_b.hash").alias("hash"), "key")
 
 
-def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: float) -> DataFrame:
-    """Pairs (a, b) that may reach the threshold: of a band for the recall, and alike in one-bit sketches of up to 128 signature values."""
+def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: float, among: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the keys ``among`` that may reach the threshold: of a band for the recall, and alike in one-bit sketches of up to 128 signature values."""
     b, r = bands_for_recall(threshold)
     words = min(2, b * r // 64)
     bit = lambda low: F.aggregate(F.slice("signature", low, 64), F.lit(0).cast("long"), lambda s, x: F.shiftleft(s, 1).bitwiseOR(x.bitwiseAND(1)))
-    own = signatures(df, key, text, n, b * r).withColumns({f"s{i}": bit(64 * i + 1) for i in range(words)})
     sketch = [f"s{i}" for i in range(words)]
     bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.xxhash64(i, F.slice(F.col("signature"), i * r + 1, F.lit(r))))
-    left = own.select(F.explode(bands).alias("hash"), F.col("key").alias("a"), *sketch)
+    own = signatures(df, key, text, n, b * r).select("key", bands.alias("bands"), *[bit(64 * i + 1).alias(c) for i, c in enumerate(sketch)])
+    own = own.join(among.select(F.col(key).alias("key")), "key", "left_semi")
+    left = own.select(F.explode("bands").alias("hash"), F.col("key").alias("a"), *sketch)
     right = left.select("hash", F.col("a").alias("b"), *[F.col(c).alias(f"o{c}") for c in sketch])
     pairs = left.join(right, "hash").filter("a < b")
     if words:
@@ -174,6 +175,30 @@ def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: fl
     return pairs.select("a", "b").distinct()
 
 
+def _similarities(pairs: DataFrame, n: int) -> DataFrame:
+    """(a, b, similarity) of rows (a, b, ta, tb): exact, over the sets of the texts' n-grams.
+
+    The set of a text is made once for neighbouring rows that share it, and only
+    two sets are held at a time.
+    """
+    a, b = (pairs.schema[x].dataType.simpleString() for x in "ab")
+
+    def grams(value: str) -> frozenset[str]:
+        return frozenset(value[i : i + n] for i in range(max(1, len(value) - n + 1))) if value else frozenset()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_a, of_b = (lru_cache(maxsize=1)(grams) for _ in "ab")
+            found = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                one, two = of_a(x), of_b(y)
+                common = len(one & two)
+                found.append(common / (len(one) + len(two) - common) if common else 0.0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"])
+
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(compare, f"a {a}, b {b}, similarity double")
+
+
 def candidate_edges(bands: DataFrame) -> DataFrame:
     """A star around the least key of each bucket: the same components as all its pairs, with one edge fewer than keys.
 
@@ -183,12 +208,13 @@ def candidate_edges(bands: DataFrame) -> DataFrame:
     return bands.join(least, ["band", "hash"]).filter("key <> a").select("a", F.col("key").alias("b")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component): least node reachable over ``edges`` (a, b). Labels travel along edges and jump to their label's
-    label; each round is checkpointed to the shared folder, so lineage stays short and lost executors cost a reread."""
+    label; each round is checkpointed to the shared folder, so lineage stays short and lost executors cost a reread.
+    A round without a lower label is the last one, and there is always one."""
     both = checkpointed(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")))
-    for _ in range(rounds):
+    while True:
         seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("component").alias("seen"))
         near = labels.join(seen, labels["node"] == seen["a"], "left").select("node", "component", F.least("component", "seen").alias("least"))
         jump = labels.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
@@ -196,29 +222,32 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         labels = step.select("node", F.col("next").alias("component"))
         if step.filter("next <> component").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")
-
-
-def jaccard(a: Column, b: Column) -> Column:
-    """Similarity of two arrays of distinct grams."""
-    common = F.size(F.array_intersect(a, b))
-    return F.coalesce(F.try_divide(common.cast("double"), F.size(a) + F.size(b) - common), F.lit(0.0))
 
 
 def near_pairs(df: DataFrame, key: str, text: Column, n: int = 3, threshold: float = 0.9, verified: bool = True) -> DataFrame:
     """Pairs (a, b) that share a band, as surveyed.
 
-    ``verified``: pairs whose exact similarity reaches the threshold, with it; each is found with probability RECALL or more.
+    ``verified``: pairs whose exact similarity reaches the threshold, with it;
+    each is found with probability RECALL or more.  Rows of one normalised text
+    are a class: the least key of each is compared with those of others, and is
+    paired with the keys of its own class at similarity 1, so that copies are
+    not expanded into all pairs.  Empty texts and null keys have no pairs.
     """
-    own = df.select(F.col(key), F.array_distinct(T.ngrams(T.dup_normalised(text), n)).alias("_grams"))
+    plain = T.dup_normalised(T.text_of(text))
     if not verified:
-        bands = banded(df, key, T.dup_normalised(text), n, threshold)
+        bands = banded(df, key, plain, n, threshold)
         other = bands.select("band", "hash", F.col("key").alias("b"))
         return bands.join(other, ["band", "hash"]).filter("key < b").select(F.col("key").alias("a"), "b").distinct()
-    pairs = _screened_pairs(df, key, T.dup_normalised(text), n, threshold)
-    left, right = (own.select(F.col(key).alias(x), F.col("_grams").alias(f"_{x}")) for x in "ab")
-    scored = pairs.join(left, "a").join(right, "b").select("a", "b", jaccard(F.col("_a"), F.col("_b")).alias("similarity"))
-    return scored.filter(F.col("similarity") >= threshold)
+    named = checkpointed(df.filter(F.col(key).isNotNull()).select(F.col(key).alias("b"), plain.alias("_t")).filter("_t <> ''").select("b", F.unhex(identity(F.col("_t"))).alias("_class")))
+    least = named.groupBy("_class").agg(F.min("b").alias("a"), F.count("*").alias("_n"))
+    copies = named.join(least.filter("_n > 1"), "_class").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
+    pairs = checkpointed(_screened_pairs(df, key, plain, n, threshold, least.select(F.col("a").alias(key))))
+    some = pairs.select(F.explode(F.array("a", "b")).alias("_k")).distinct()
+    own = df.join(some, F.col(key) == F.col("_k"), "left_semi").select(F.col(key).alias("_k"), plain.alias("_t"))
+    left, right = (own.select(F.col("_k").alias(x), F.col("_t").alias(f"t{x}")) for x in "ab")
+    scored = _similarities(pairs.join(left, "a").join(right, "b"), n)
+    found = scored.filter(F.col("similarity") >= threshold).unionByName(copies)
+    return found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))  # keys may be repeated
 
 
 def near_components(df: DataFrame, key: str, text: Column, n: int = 3, threshold: float = 0.9, verified: bool = False) -> DataFrame:

@@ -161,6 +161,12 @@ ORACLE_SQL = {
     "dup_clusters_topk": f"""WITH h AS (SELECT sha1({_norm('text')}) AS hash, doc_id FROM documents), t AS (SELECT hash, count(*) AS size, min(doc_id) AS first FROM h GROUP BY hash HAVING count(*) >= 2 ORDER BY size DESC, first LIMIT 50)
         SELECT hash, size, first, row_number() OVER (PARTITION BY hash ORDER BY doc_id)::INT AS member, doc_id FROM h JOIN t USING (hash) QUALIFY member <= 5""",
     "decontam_exact": f"WITH {_TRAIN}, {_EXACT} SELECT id FROM exact",
+    "near_dup_pairs": f"""WITH d AS MATERIALIZED (SELECT doc_id, {_norm('text')} AS t FROM documents), r AS (SELECT t, min(doc_id) AS a FROM d WHERE t <> '' GROUP BY t),
+        s AS MATERIALIZED (SELECT a, g, len(g) AS n FROM (SELECT a, list_distinct({_grams('t', 5)}) AS g FROM r)), e AS MATERIALIZED (SELECT a, n, unnest(g) AS gram FROM s),
+        f AS (SELECT gram, count(*) AS df FROM e GROUP BY gram), k AS MATERIALIZED (SELECT a, n, gram FROM e JOIN f USING (gram) QUALIFY row_number() OVER (PARTITION BY a ORDER BY df, gram) <= n - ceil(0.9 * n - 1e-9) + 1),
+        c AS (SELECT DISTINCT x.a AS a, y.a AS b FROM k x JOIN k y ON x.gram = y.gram AND x.a < y.a AND least(x.n, y.n) >= 0.9 * greatest(x.n, y.n) - 1e-6),
+        p AS (SELECT c.a, c.b, count(*) AS common, any_value(x.n + y.n) AS n FROM c JOIN e x ON x.a = c.a JOIN e y ON y.a = c.b AND y.gram = x.gram GROUP BY c.a, c.b)
+        SELECT a, b, common::DOUBLE / (n - common) AS similarity FROM p WHERE common::DOUBLE / (n - common) >= 0.9::DOUBLE UNION ALL SELECT a, doc_id, 1.0::DOUBLE FROM d JOIN r USING (t) WHERE a < doc_id""",
     "decontam_jaccard": f"WITH {_TRAIN}, {_JACCARD} SELECT id FROM near",
     "decontam_report": f"""WITH {_TRAIN}, {_EXACT}, {_JACCARD}, n AS (SELECT (SELECT count(*) FROM train) AS total, (SELECT count(*) FROM exact) AS exact, (SELECT count(*) FROM near WHERE id NOT IN (SELECT id FROM exact)) AS approx)
         SELECT total, exact, approx, exact + approx AS contaminated, total - exact - approx AS clean, (exact + approx)::DOUBLE / total AS rate FROM n""",
