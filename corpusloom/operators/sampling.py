@@ -34,13 +34,27 @@ def ranked(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
     return dealt.withColumn("_within", within).join(F.broadcast(starts), "_part").withColumn(name, F.col("_before") + F.col("_within")).drop("_part", "_within", "_before", *labels)
 
 
+#: Hex digits of the order key by which a source's rows are counted before any of them is ranked: 65,536 counts a source.
+_COUNTED = 4
+
+
 def mixture(df: DataFrame, source: str, ratios: Mapping[str, float], total: int, seed: object, *keys: str) -> DataFrame:
-    """``int(total * ratio / sum)`` rows of each named source, or all it has; a short source is not made up for."""
+    """``int(total * ratio / sum)`` rows of each named source, or all it has; a short source is not made up for.
+
+    Rows are counted by the head of their order key first, so that only those
+    up to the head in which a source's target is reached are ranked.
+    """
     whole = sum(ratios.values())
     want = {s: int(total * r / whole) for s, r in ratios.items()}
     target = F.element_at(F.create_map(*[F.lit(x) for s, n in want.items() for x in (s, n)]), F.col(source))
-    rank = F.row_number().over(Window.partitionBy(source).orderBy(*order_key(seed, *keys)))
-    return df.filter(F.col(source).isin(*want)).withColumn("_rank", rank).filter(F.col("_rank") <= target).drop("_rank")
+    order = order_key(seed, *keys)
+    own = df.filter(F.col(source).isin(*want)).withColumn("_head", F.substring(order[0], 1, _COUNTED))
+    before = Window.partitionBy(source).orderBy("_head").rowsBetween(Window.unboundedPreceding, -1)
+    heads = own.groupBy(source, "_head").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    last = heads.filter(F.col("_before") < target).groupBy(source).agg(F.max("_head").alias("_last"))
+    rank = F.row_number().over(Window.partitionBy(source).orderBy(*order))
+    near = own.join(F.broadcast(last), source).filter(F.col("_head") <= F.col("_last"))  # a row per named source
+    return near.withColumn("_rank", rank).filter(F.col("_rank") <= target).select(*df.columns)
 
 
 def mixture_stats(df: DataFrame, source: str) -> DataFrame:
