@@ -67,7 +67,7 @@ def representatives(df: DataFrame, key: str, vector: str, cluster: str, most: in
     """The rows nearest to each cluster's centre: cluster, rank, key, distance."""
     own = df.filter(F.col(cluster) != noise)
     centres = centroids(own, vector, cluster) if centres is None else centres
-    near = own.join(F.broadcast(centres), cluster).withColumn("distance", distance(F.col(vector), F.col("centroid")))
+    near = own.join(centres, cluster).withColumn("distance", distance(F.col(vector), F.col("centroid")))
     rank = F.row_number().over(Window.partitionBy(cluster).orderBy("distance", key))
     return near.withColumn("rank", rank).filter(F.col("rank") <= most).select(cluster, "rank", key, "distance")
 

@@ -8,24 +8,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusloom.operators.sampling import ranked
+from corpusloom.session import checkpointed
+
+
+def _places(counts: DataFrame) -> DataFrame:
+    """Counts (metric, value, n), one row per value, with ``before``: how many rows of the metric are less.
+
+    Values are dealt by range and written; a part starts after the sums of the
+    parts before it, so neither a metric nor a common value falls to one task.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = checkpointed(counts.repartitionByRange(parts, "metric", "value").withColumn("_part", F.spark_partition_id()))
+    earlier = Window.partitionBy("metric").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = dealt.groupBy("metric", "_part").agg(F.sum("n").alias("_n"))
+    starts = sums.select("metric", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    less = Window.partitionBy("metric", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    within = dealt.withColumn("_less", F.coalesce(F.sum("n").over(less), F.lit(0)))
+    return within.join(F.broadcast(starts), ["metric", "_part"]).select("metric", "value", "n", (F.col("_start") + F.col("_less")).alias("before"))
+
+
+def _at(place: Column) -> Column:
+    """The value at a place, from 0, of sorted rows."""
+    return F.max(F.when((F.col("before") <= place) & (place < F.col("before") + F.col("n")), F.col("value")))
 
 
 def distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """A row per metric: count, mean, linear-interpolated p50 to p95 and max."""
+    """A row per metric: count, mean, linear-interpolated p50 to p95 and max. Nulls do not count."""
     named = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in columns])
     long = df.select(F.explode(named).alias("m")).select("m.metric", "m.value")
-    quantiles = [F.percentile("value", F.lit(p)).alias(f"p{int(p * 100)}") for p in (0.5, 0.75, 0.9, 0.95)]
-    return long.groupBy("metric").agg(F.count("value").alias("count"), F.avg("value").alias("mean"), *quantiles, F.max("value").alias("max"))
+    counts = checkpointed(long.groupBy("metric", "value").agg(F.count("*").alias("n")))
+    seen = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
+    whole = counts.groupBy("metric").agg(F.coalesce(seen, F.lit(0)).alias("count"), F.try_divide(F.sum(F.col("value") * F.col("n")), seen).alias("mean"), F.max("value").alias("max"))
+    points = {f"p{int(p * 100)}": F.lit(p) * (F.col("count") - 1) for p in (0.5, 0.75, 0.9, 0.95)}
+    own = _places(counts.filter("value IS NOT NULL")).join(F.broadcast(whole.select("metric", "count")), "metric")  # a row per metric
+    ends = own.groupBy("metric", "count").agg(*[_at(f(x)).alias(f"_{name}_{side}") for name, x in points.items() for side, f in (("low", F.floor), ("high", F.ceil))])
+    between = {name: F.when(F.floor(x) == F.ceil(x), F.col(f"_{name}_low")).otherwise((F.ceil(x) - x) * F.col(f"_{name}_low") + (x - F.floor(x)) * F.col(f"_{name}_high")) for name, x in points.items()}
+    found = ends.select("metric", *[c.alias(name) for name, c in between.items()])
+    return whole.join(found, "metric", "left").select("metric", "count", "mean", *points, "max")
 
 
 def index_quantiles(df: DataFrame, column: str, points: dict[str, float]) -> DataFrame:
-    """One row: the value at sorted position ``int(n * q)`` for each named q, null without values. Ranks are distributed; one row per point is left."""
-    own = df.select(F.col(column).alias("_v")).filter("_v IS NOT NULL")
-    n = own.count()
-    places = {name: int(n * q) + 1 for name, q in points.items()}
-    rows = ranked(own, [F.col("_v")]).filter(F.col("rank").isin(*places.values()))
-    return rows.agg(*[F.max(F.when(F.col("rank") == place, F.col("_v"))).alias(name) for name, place in places.items()])
+    """One row: the value at sorted position ``int(n * q)`` for each named q, null without values. Equal values are counted before they are dealt."""
+    counts = df.select(F.lit("all").alias("metric"), F.col(column).alias("value")).filter("value IS NOT NULL").groupBy("metric", "value").agg(F.count("*").alias("n"))
+    own = checkpointed(_places(counts))
+    n = own.agg(F.sum("n")).first()[0] or 0
+    return own.agg(*[_at(F.lit(int(n * q))).alias(name) for name, q in points.items()])
 
 
 def kept_report(df: DataFrame, reason: str = "reason") -> DataFrame:
@@ -95,8 +122,13 @@ def pairwise_loss(df: DataFrame, chosen: str, rejected: str) -> DataFrame:
     return df.agg(F.avg(F.log1p(F.exp(F.col(rejected) - F.col(chosen)))).alias("loss"))
 
 
-def group_advantage(reward: str, group: str) -> Column:
-    """(reward - mean) / standard deviation within the group; 0 where all rewards are equal."""
-    by = Window.partitionBy(group)
-    spread = F.stddev_pop(reward).over(by)
-    return F.coalesce(F.try_divide(F.col(reward) - F.avg(reward).over(by), spread), F.lit(0.0))
+def with_group_advantage(df: DataFrame, reward: str, group: str, out: str = "advantage") -> DataFrame:
+    """``df`` with (reward - mean) / standard deviation within the group; 0 where all rewards are equal or null.
+
+    Groups are aggregated before the shuffle, so one of any size falls to no single task. A null group is a group.
+    """
+    value = F.col(reward)
+    each = df.groupBy(F.col(group).alias("_g")).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_spread"), (F.min(value) < F.max(value)).alias("_differ"))
+    own = df.join(each, F.col(group).eqNullSafe(F.col("_g")), "left")
+    score = F.when(F.col("_differ"), F.try_divide(value - F.col("_mean"), F.col("_spread")))
+    return own.withColumn(out, F.coalesce(score, F.lit(0.0))).drop("_g", "_mean", "_spread", "_differ")

@@ -354,7 +354,7 @@ def reward_totals(spark, d):
 @query
 def reward_advantages(spark, d):
     """RWD5"""
-    return reward_totals(spark, d).withColumn("advantage", F.round(stats.group_advantage("reward", "prompt"), 6)).select("doc_id", "advantage")
+    return stats.with_group_advantage(reward_totals(spark, d), "reward", "prompt").select("doc_id", F.round("advantage", 6).alias("advantage"))
 
 
 @query

@@ -1,8 +1,10 @@
 """Operators over small frames, and invariants over driver tables."""
 
+import hashlib
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,16 @@ def test_near_pairs_of_driver_table(spark):
     assert found.filter("similarity < 0.9").isEmpty()
 
 
+def test_near_pairs_of_classes(spark):
+    """Copies are paired with the least key of their text alone, and texts that differ by their least keys."""
+    (_, one), (_, two) = bent_texts(3, 0.004, n=1)
+    rows = [(5, one), (3, one.upper()), (9, one + "!"), (4, two), (8, two), (4, two), (20, ""), (21, ""), (22, None), (None, one), (30, "far away from all of them")]
+    found = dedup.near_pairs(spark.createDataFrame(rows, "i long, t string"), "i", F.col("t"), 5, 0.9).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(3, 4), (3, 5), (3, 9), (4, 8)]
+    assert {(r["a"], r["b"]): r["similarity"] for r in found}[3, 4] == alike(one, two)
+    assert dedup.near_pairs(spark.createDataFrame([], "i long, t string"), "i", F.col("t"), 5, 0.9).count() == 0
+
+
 def bent_texts(seed, share, n=60):
     """Letters, and the same with some changed: pairs about as alike as a threshold, and the brute-force similarity by 5-grams."""
     pick, rows = random.Random(seed), []
@@ -138,6 +150,42 @@ def test_clean_and_contaminated_add_up(spark):
     assert report["exact"] == 40 and report["clean"] + report["contaminated"] == report["total"] == 240
 
 
+def test_distribution_with_ties_and_nulls(spark):
+    """One value holds half of the rows; another metric has no value at all."""
+    pick = random.Random(4)
+    x = [0.0] * 300 + [pick.uniform(-5, 5) for _ in range(299)]
+    rows = [(v, None, 7) for v in x] + [(None, None, 7)] * 5
+    got = {r["metric"]: r for r in stats.distribution(spark.createDataFrame(rows, "x double, y double, z int").repartition(5), ["x", "y", "z"]).collect()}
+    assert (got["x"]["count"], got["y"]["count"], got["z"]["count"]) == (599, 0, 604)
+    assert got["x"]["mean"] == pytest.approx(sum(x) / len(x)) and got["x"]["max"] == max(x)
+    for p in (50, 75, 90, 95):
+        assert got["x"][f"p{p}"] == pytest.approx(np.percentile(x, p)) and got["y"][f"p{p}"] is None and got["z"][f"p{p}"] == 7
+    few = spark.createDataFrame([(1.0,)] * 50 + [(2.0,)], "x double")
+    assert stats.index_quantiles(few, "x", {"a": 0.5, "b": 0.99}).first().asDict() == {"a": 1.0, "b": 2.0}
+    assert stats.index_quantiles(few.limit(0), "x", {"a": 0.5}).first().asDict() == {"a": None}
+    assert stats.distribution(few.limit(0), ["x"]).count() == 0
+
+
+def test_mixture_takes_the_first_of_each_source(spark):
+    rows = [(i, "hot" if i % 3 else ("cold" if i % 2 else "short")) for i in range(3000)] + [(9000, None), (9001, "other")]
+    df = spark.createDataFrame(rows, "i long, s string").repartition(6)
+    got = sampling.mixture(df, "s", {"hot": 0.2, "cold": 0.0, "short": 0.8}, 1000, 7, "i").collect()
+    order = lambda i: (hashlib.md5(f"7|{i}".encode()).hexdigest(), i)
+    want = {i for name, n in (("hot", 200), ("short", 800)) for i in sorted((i for i, s in rows if s == name), key=order)[:n]}
+    assert {r["i"] for r in got} == want and len(got) == 700  # all 500 of the short source
+
+
+def test_group_advantages(spark):
+    rows = [(1, "a", 1.0), (2, "a", 3.0), (3, "a", 2.0), (4, "b", 0.1), (5, "b", 0.1), (6, "b", 0.1), (7, None, 5.0), (8, None, 9.0), (9, "c", None), (10, "a", None)]
+    got = {r["i"]: r["advantage"] for r in stats.with_group_advantage(spark.createDataFrame(rows, "i long, g string, r double"), "r", "g").collect()}
+    assert got == pytest.approx({1: -(1.5**0.5), 2: 1.5**0.5, 3: 0, 4: 0, 5: 0, 6: 0, 7: -1, 8: 1, 9: 0, 10: 0})
+
+
+def test_long_chains_settle(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(300)], "a long, b long")
+    assert {r["component"] for r in dedup.components(edges).collect()} == {0}
+
+
 def test_quantiles_and_balance(spark):
     rows = spark.createDataFrame([(float(i),) for i in (5, 1, 3, 2, 4)], "x double")
     assert stats.index_quantiles(rows, "x", {"q": 0.5, "p": 0.9}).first().asDict() == {"q": 3.0, "p": 5.0}
