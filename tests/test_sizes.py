@@ -32,3 +32,17 @@ def test_prompts_of_empty_and_missing_parts(spark, tmp_path):
     rows, schema = docs("plain", "", "  \n", " both ends ", None)
     rows += [(10, "text", "", "src", 4), (11, "text", "en", "", 4), (12, "text", None, "src", 4), (13, "text", "en", None, 4), (14, "", "", "", 0)]
     assert agrees(spark, tmp_path, "instruction_prompts", documents=(rows, schema)) == 10
+
+
+def test_limited_exercises_come_from_several_files(spark, tmp_path, monkeypatch):
+    """The rows are written by ranges: no file, and so no task, holds all of them."""
+    rows, schema = docs(*[f"text {i} " + "x" * 2000 for i in range(400)])
+    folder = {}
+    monkeypatch.setattr(extras, "shared_path", lambda spark, purpose: folder.setdefault(purpose, f"{tmp_path}/{purpose}"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert agrees(spark, tmp_path, "limited_exercises", documents=(rows[::-1], schema)) == 25
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r[0] for r in spark.read.text(folder["limited"] + "/rows.jsonl").groupBy("_metadata.file_path").count().select("count").collect()]
+    assert sum(sizes) == 400 and max(sizes) < 300
