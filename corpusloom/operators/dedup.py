@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpusloom.functions import text as T
+from corpusloom.operators import grams as G
 from corpusloom.session import checkpointed
 
 
@@ -66,6 +67,7 @@ def keep_first_prompt(df: DataFrame, prompt: Column, order: str) -> DataFrame:
 
 def top_clusters(df: DataFrame, key: str, order: str, most: int = 50, examples: int = 5, columns: tuple[str, ...] = ()) -> DataFrame:
     """The largest clusters of two rows or more (ties by first row), each with its first rows in order."""
+    df = df if columns else checkpointed(df.select(key, order))  # a key is costly to make, and is read twice
     sizes = df.groupBy(key).agg(F.count("*").alias("size"), F.min(order).alias("first")).filter("size >= 2")
     top = sizes.orderBy(F.desc("size"), "first").limit(most)  # a report of fixed size
     by = Window.partitionBy(key).orderBy(order)
@@ -122,31 +124,27 @@ def _least_bits(threshold: float, bits: int, miss: float = 1e-7) -> int:
 def signatures(df: DataFrame, key: str, text: Column, n: int, permutations: int, seed: int = 1) -> DataFrame:
     """(key, signature) by MinHash of each text's character n-grams; empty texts have none.
 
-    A gram is a polynomial over its code points, so a text's grams are hashed at
-    once; a signature is the least product with each of the odd factors.
+    The text is normalised for duplicates here.  A gram is a polynomial over its
+    code points, so the grams of many texts are hashed at once; a signature is
+    the least product with each of the odd factors.
     """
     kind = df.schema[key].dataType.simpleString()
     odd = np.random.default_rng(seed).integers(1, 1 << 63, permutations, dtype=np.uint64) | np.uint64(1)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buffer = np.empty((permutations, 512), dtype=np.uint64)
         for batch in batches:
-            keys, rows = [], []
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not value:
-                    continue
-                points = np.frombuffer(value.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-                width, code = min(n, len(points)), np.zeros(len(points) - min(n, len(points)) + 1, dtype=np.uint64)
-                for i in range(width):
-                    code = code * np.uint64(0x9E3779B97F4A7C15) + points[i : len(points) - width + 1 + i]
-                code = np.unique(code ^ (code >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                least = np.full(permutations, np.iinfo(np.uint64).max, dtype=np.uint64)
-                for low in range(0, len(code), 1024):
-                    least = np.minimum(least, ((code[low : low + 1024, None] ^ (code[low : low + 1024, None] >> np.uint64(32))) * odd[None]).min(axis=0))
-                keys.append(k)
-                rows.append((least >> np.uint64(16)).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, batch.schema.field(0).type), pa.array([r.tolist() for r in rows], pa.list_(pa.int64()))], ["key", "signature"])
-
-    return df.select(F.col(key), text.alias("_text")).mapInArrow(sign, f"key {kind}, signature array<long>")
+            texts, at, rows = batch.column(1).to_pylist(), [], []
+            for first, part in G.parts(texts):
+                own, bounds = G.codes(*G.normalised(part), n, G.polynomial)
+                for i in np.flatnonzero(np.diff(bounds)):
+                    at.append(first + i)
+                    rows.append((G.signature(G.distinct(own[bounds[i] : bounds[i + 1]]), odd, buffer) >> np.uint64(16)).view(np.int64))
+            flat = pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * permutations), flat)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), lists], ["key", "signature"])
+
+    return df.select(F.col(key), F.lower(text).alias("_text")).mapInArrow(sign, f"key {kind}, signature array<long>")
 
 
 def banded(df: DataFrame, key: str, text: Column, n: int, threshold: float, permutations: int = 128) -> DataFrame:
@@ -165,7 +163,7 @@ def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: fl
     sketch = [f"s{i}" for i in range(words)]
     bands = F.transform(F.sequence(F.lit(0), F.lit(b - 1)), lambda i: F.xxhash64(i, F.slice(F.col("signature"), i * r + 1, F.lit(r))))
     own = signatures(df, key, text, n, b * r).select("key", bands.alias("bands"), *[bit(64 * i + 1).alias(c) for i, c in enumerate(sketch)])
-    own = own.join(among.select(F.col(key).alias("key")), "key", "left_semi")
+    own = checkpointed(own.join(among.select(F.col(key).alias("key")), "key", "left_semi"))  # read on both sides
     left = own.select(F.explode("bands").alias("hash"), F.col("key").alias("a"), *sketch)
     right = left.select("hash", F.col("a").alias("b"), *[F.col(c).alias(f"o{c}") for c in sketch])
     pairs = left.join(right, "hash").filter("a < b")
@@ -235,13 +233,13 @@ def near_pairs(df: DataFrame, key: str, text: Column, n: int = 3, threshold: flo
     """
     plain = T.dup_normalised(T.text_of(text))
     if not verified:
-        bands = banded(df, key, plain, n, threshold)
+        bands = banded(df, key, text, n, threshold)
         other = bands.select("band", "hash", F.col("key").alias("b"))
         return bands.join(other, ["band", "hash"]).filter("key < b").select(F.col("key").alias("a"), "b").distinct()
     named = checkpointed(df.filter(F.col(key).isNotNull()).select(F.col(key).alias("b"), plain.alias("_t")).filter("_t <> ''").select("b", F.unhex(identity(F.col("_t"))).alias("_class")))
     least = named.groupBy("_class").agg(F.min("b").alias("a"), F.count("*").alias("_n"))
     copies = named.join(least.filter("_n > 1"), "_class").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
-    pairs = checkpointed(_screened_pairs(df, key, plain, n, threshold, least.select(F.col("a").alias(key))))
+    pairs = checkpointed(_screened_pairs(df, key, text, n, threshold, least.select(F.col("a").alias(key))))
     some = pairs.select(F.explode(F.array("a", "b")).alias("_k")).distinct()
     own = df.join(some, F.col(key) == F.col("_k"), "left_semi").select(F.col(key).alias("_k"), plain.alias("_t"))
     left, right = (own.select(F.col("_k").alias(x), F.col("_t").alias(f"t{x}")) for x in "ab")
@@ -255,7 +253,7 @@ def near_components(df: DataFrame, key: str, text: Column, n: int = 3, threshold
     if verified:
         edges = near_pairs(df, key, text, n, threshold).select("a", "b")
     else:
-        edges = candidate_edges(banded(df, key, T.dup_normalised(text), n, threshold))
+        edges = candidate_edges(checkpointed(banded(df, key, text, n, threshold)))  # read twice
     found = components(edges)
     sizes = found.groupBy("component").agg(F.count("*").alias("size"))
     return found.join(sizes, "component").select("node", "component", "size")
@@ -274,7 +272,29 @@ def _prefix(size: Column, threshold: float) -> Column:
 
 
 def jaccard_contaminated(train: DataFrame, evals: DataFrame, key: str, train_text: Column, eval_text: Column, n: int = 5, threshold: float = 0.7) -> DataFrame:
-    """Keys of training rows whose similarity to an evaluation row reaches the threshold: an exact prefix-filter join.
+    """Keys of training rows whose similarity to an evaluation row reaches the threshold.
+
+    Where the evaluation side has at most KNOWN_GRAMS grams, as 64-bit hashes,
+    training rows are compared in the scan, all of them with all items; else by
+    an exact prefix-filter join.
+    """
+    own = checkpointed(gram_hashes(evals.withColumn("_item", identity(T.dup_normalised(eval_text))), "_item", eval_text, n).filter(F.size("grams") > 0).dropDuplicates(["key"]))
+    items = _known_items(own.select(F.col("key").alias("_item"), F.size("grams").alias("_size"), F.explode("grams").alias("gram")))
+    if items is None:
+        return _jaccard_joined(train, evals, key, train_text, eval_text, n, threshold)
+
+    def alike(text, item, count, size, distinct):
+        near = count >= threshold * size[item] - 1e-6  # else the union is too large, whatever the text's own size
+        text, item, count = text[near], item[near], count[near]
+        which, place = np.unique(text, return_inverse=True)
+        value = count / (distinct(which)[place] + size[item] - count)
+        return _most(text[value >= threshold], value[value >= threshold])
+
+    return _against_items(train, key, train_text, n, items, alike, "_alike").select(key).distinct()
+
+
+def _jaccard_joined(train: DataFrame, evals: DataFrame, key: str, train_text: Column, eval_text: Column, n: int, threshold: float) -> DataFrame:
+    """The same for an evaluation side of any size: an exact prefix-filter join.
 
     Grams are ordered by the evaluation rows that hold them, so those that none
     holds come first, and a training row without enough known grams is dropped.
@@ -306,17 +326,16 @@ def approx_contaminated(train: DataFrame, evals: DataFrame, key: str, eval_key:
     """Keys of training rows that share a band with an evaluation row, or reach the exact similarity when ``verified``."""
     if verified:
         return jaccard_contaminated(train, evals, key, train_text, eval_text, n, threshold)
-    left = banded(train, key, T.dup_normalised(train_text), n, threshold)
-    right = banded(evals, eval_key, T.dup_normalised(eval_text), n, threshold).select("band", "hash", F.col("key").alias("other"))
+    left = banded(train, key, train_text, n, threshold)
+    right = banded(evals, eval_key, eval_text, n, threshold).select("band", "hash", F.col("key").alias("other"))
     return left.join(right, ["band", "hash"]).select(F.col("key").alias(key)).distinct()
 
 
 def contamination_flags(train: DataFrame, evals: DataFrame, key: str, eval_key: str, train_text: Column, eval_text: Column, n: int = 5, threshold: float = 0.7, verified: bool = False) -> DataFrame:
-    """``train`` with ``contamination``: exact, approx or null. Exact hits are not compared again."""
+    """``train`` with ``contamination``: exact, approx or null. A row that is both is exact."""
     exact = exact_contaminated(train, evals, key, train_text, eval_text)
-    rest = train.join(exact, key, "left_anti")
-    approx = approx_contaminated(rest, evals, key, eval_key, train_text, eval_text, n, threshold, verified)
-    flags = exact.withColumn("contamination", F.lit("exact")).unionByName(approx.withColumn("contamination", F.lit("approx"))).distinct()
+    approx = approx_contaminated(train, evals, key, eval_key, train_text, eval_text, n, threshold, verified)
+    flags = exact.withColumn("contamination", F.lit("exact")).unionByName(approx.withColumn("contamination", F.lit("approx"))).groupBy(key).agg(F.max("contamination").alias("contamination"))
     return train.join(flags, key, "left")
 
 
@@ -334,49 +353,81 @@ def contamination_report(flagged: DataFrame) -> DataFrame:
     )
 
 
-def gram_hashes(df: DataFrame, key: str, text: Column, n: int, known: frozenset[int] | None = None) -> DataFrame:
-    """(key, grams): sorted distinct 64-bit hashes of each text's character n-grams, of ``known`` ones only where given.
-
-    A text's grams are hashed at once by a polynomial over its code points; a shorter text is one gram.
-    """
+def gram_hashes(df: DataFrame, key: str, text: Column, n: int) -> DataFrame:
+    """(key, grams): sorted distinct 64-bit hashes of the character n-grams of each text, normalised for duplicates; a shorter text is one gram."""
     kind = df.schema[key].dataType.simpleString()
-    wanted = None if known is None else np.sort(np.fromiter(known, dtype=np.int64, count=len(known)))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value in batch.column(1).to_pylist():
-                points = np.frombuffer((value or "").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-                width = min(n, len(points))
-                code = np.full(len(points) - width + 1 if width else 0, width, dtype=np.uint64)
-                for i in range(width):
-                    code = (code ^ points[i : len(points) - width + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
-                    code ^= code >> np.uint64(32)
-                own = np.unique(code.view(np.int64))
-                if wanted is not None and len(wanted):
-                    own = own[wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own]
-                rows.append(own if wanted is None or len(wanted) else own[:0])
+            for _, part in G.parts(batch.column(1).to_pylist()):
+                own, bounds = G.codes(*G.normalised(part), n, G.hashed)
+                rows += [G.distinct(own[low:high].view(np.int64)) for low, high in zip(bounds[:-1], bounds[1:], strict=True)]
             offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-            grams = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), grams], ["key", "grams"])
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["key", "grams"])
 
-    return df.select(F.col(key), text.alias("_text")).mapInArrow(build, f"key {kind}, grams array<long>")
+    return df.select(F.col(key), F.lower(text).alias("_text")).mapInArrow(build, f"key {kind}, grams array<long>")
 
 
-#: Distinct grams of the evaluation side up to which they go to every task (8 bytes each); beyond, the training grams are joined.
+#: Grams of evaluation items, a gram counted for each item that holds it, up to which they go to every task (16 bytes each); beyond, the training grams are joined.
 KNOWN_GRAMS = 2_000_000
 
 
+def _known_items(posts: DataFrame) -> G.Items | None:
+    """Of rows (_item, _size, gram), if they are few enough."""
+    few = posts.select("_item", "_size", "gram").limit(KNOWN_GRAMS + 1).toPandas()
+    if len(few) > KNOWN_GRAMS:
+        return None
+    number, names = few["_item"].factorize(use_na_sentinel=False)
+    size = few["_size"].groupby(number).first().reindex(range(len(names))).to_numpy()
+    return G.Items(few["gram"].to_numpy(np.int64), number, size)
+
+
+def _against_items(train: DataFrame, key: str, text: Column, n: int, items: G.Items, best, schema: str) -> DataFrame:
+    """(key, value) of each training row for which ``best`` gives one. best(text, item, count, distinct): arrays of the
+    pairs of a part of the rows; ``distinct(texts)`` counts their own grams. It returns texts, each once, and values."""
+    kind = train.schema[key].dataType.simpleString()
+    shared = train.sparkSession.sparkContext.broadcast(items)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
+        for batch in batches:
+            at, values = [np.zeros(0, np.int64)], [np.zeros(0)]
+            for first, part in G.parts(batch.column(1).to_pylist()):
+                own, bounds = G.codes(*G.normalised(part), n, G.hashed)
+                sizes = lambda texts: np.array([len(G.distinct(own[bounds[i] : bounds[i + 1]])) for i in texts], dtype=np.int64)  # noqa: B023, E731
+                text, value = best(*items.shared(own, bounds), items.size, sizes)
+                at.append(first + text)
+                values.append(value)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(at))), pa.array(np.concatenate(values), pa.float64())], ["key", "value"])
+
+    return train.select(F.col(key), F.lower(text).alias("_text")).mapInArrow(count, f"key {kind}, value double").select(F.col("key").alias(key), F.col("value").alias(schema))
+
+
+def _most(text: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text once, in order, with its largest value."""
+    if not len(text):
+        return text, value.astype(float)
+    order = np.argsort(text, kind="stable")
+    text, value = text[order], value[order]
+    first = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
+    return text[first], np.maximum.reduceat(value, first)
+
+
 def containment(train: DataFrame, evals: DataFrame, key: str, eval_key: str, train_text: Column, eval_text: Column, n: int = 5) -> DataFrame:
     """Extension: the largest share of an evaluation row's n-grams that each training row holds.
 
     Grams are 64-bit hashes.  Where the evaluation side has at most KNOWN_GRAMS
-    of them, training rows drop all others in the scan.
+    of them, training rows are compared in the scan and only results leave it.
     """
-    own = checkpointed(gram_hashes(evals, eval_key, T.dup_normalised(T.text_of(eval_text)), n))
+    own = checkpointed(gram_hashes(evals, eval_key, eval_text, n))
     posts = own.select(F.col("key").alias("_item"), F.size("grams").alias("_size"), F.explode("grams").alias("gram"))
-    few = posts.select("gram").distinct().limit(KNOWN_GRAMS + 1).toPandas()["gram"]
-    known = frozenset(few.tolist()) if len(few) <= KNOWN_GRAMS else None
-    held = gram_hashes(train, key, T.dup_normalised(T.text_of(train_text)), n, known)
+    items = _known_items(posts)
+    if items is not None:
+        shares = lambda text, item, count, size, _: _most(text, count / size[item])
+        found = _against_items(train, key, train_text, n, items, shares, "_share")
+        return found.groupBy(key).agg(F.max("_share").alias("containment"))
+    held = gram_hashes(train, key, train_text, n)
     hits = held.select(F.col("key").alias(key), F.explode("grams").alias("gram")).join(posts, "gram").groupBy(key, "_item", "_size").agg(F.count("*").alias("_hits"))
     return hits.groupBy(key).agg(F.max(F.col("_hits").cast("double") / F.col("_size")).alias("containment"))
