@@ -173,28 +173,62 @@ def _screened_pairs(df: DataFrame, key: str, text: Column, n: int, threshold: fl
     return pairs.select("a", "b").distinct()
 
 
-def _similarities(pairs: DataFrame, n: int) -> DataFrame:
-    """(a, b, similarity) of rows (a, b, ta, tb): exact, over the sets of the texts' n-grams.
+#: Texts of a cell that are compared with one another: a task holds the grams of twice as many.
+CELL = 64
 
-    The set of a text is made once for neighbouring rows that share it, and only
-    two sets are held at a time.
+
+def _cells(pairs: DataFrame) -> DataFrame:
+    """(cell, a, b): pairs (a, b) dealt so that those of a group share their cell, and a cell has about 2 * CELL keys at most.
+
+    A pair goes with the least key that its lesser one is paired with; groups larger than CELL are cut into squares by hash.
     """
-    a, b = (pairs.schema[x].dataType.simpleString() for x in "ab")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    group = both.groupBy("a").agg(F.least("a", F.min("b")).alias("_g"))
+    own = checkpointed(pairs.join(group, "a"))
+    sides = own.select("_g", F.explode(F.array("a", "b")).alias("_k")).distinct().groupBy("_g").agg(F.ceil(F.count("*") / CELL).alias("_q"))
+    place = lambda x: F.pmod(F.xxhash64(x), F.col("_q"))
+    return own.join(sides, "_g").select(F.xxhash64("_g", place("a"), place("b")).alias("cell"), "a", "b")
 
-    def grams(value: str) -> frozenset[str]:
-        return frozenset(value[i : i + n] for i in range(max(1, len(value) - n + 1))) if value else frozenset()
+
+def _similarities(pairs: DataFrame, df: DataFrame, key: str, text: Column, n: int) -> DataFrame:
+    """(a, b, similarity) of pairs (a, b) of keys: over the full sets of 64-bit hashes of the texts' n-grams.
+
+    Texts travel once for each cell that needs them, not for each pair, and a set is made once in a cell.
+    """
+    kind = df.schema[key].dataType.simpleString()
+    own = checkpointed(_cells(pairs))
+    wanted = own.select("cell", F.explode(F.array("a", "b")).alias("_k")).distinct()
+    texts = df.select(F.col(key).alias("_k"), F.lower(text).alias("_t")).join(wanted, "_k").select("cell", F.lit(0).alias("_i"), F.col("_k").alias("a"), F.col("_k").alias("b"), "_t")
+    rows = texts.unionByName(own.select("cell", F.lit(1).alias("_i"), "a", "b", F.lit(None).cast("string").alias("_t")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sets = None, {}
         for batch in batches:
-            of_a, of_b = (lru_cache(maxsize=1)(grams) for _ in "ab")
-            found = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = of_a(x), of_b(y)
-                common = len(one & two)
-                found.append(common / (len(one) + len(two) - common) if common else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], ["a", "b", "similarity"])
-
-    return pairs.select("a", "b", "ta", "tb").mapInArrow(compare, f"a {a}, b {b}, similarity double")
+            cells, kinds, a, b, texts = (c.to_pylist() for c in batch.columns)
+            at = [i for i, x in enumerate(kinds) if x == 0]
+            made = {}
+            for first, part in G.parts([texts[i] for i in at]):
+                codes, bounds = G.codes(*G.normalised(part), n, G.hashed)
+                made |= {at[first + i]: G.distinct(codes[bounds[i] : bounds[i + 1]]) for i in range(len(part))}
+            found, alike = [], []
+            for i, cell in enumerate(cells):
+                if cell != now:
+                    now, sets = cell, {}
+                if i in made:
+                    sets.setdefault(a[i], []).append(made.pop(i))  # keys may be repeated
+                    continue
+                found.append(i)
+                alike.append(max(_alike(x, y) for x in sets[a[i]] for y in sets[b[i]]))
+            places = pa.array(found, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(2).take(places), batch.column(3).take(places), pa.array(alike, pa.float64())], ["a", "b", "similarity"])
+
+    return rows.repartition("cell").sortWithinPartitions("cell", "_i").mapInArrow(compare, f"a {kind}, b {kind}, similarity double")
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> float:
+    """Share of two sorted sets that both hold."""
+    union = len(G.distinct(np.concatenate([x, y])))
+    return (len(x) + len(y) - union) / union if union else 0.0
 
 
 def candidate_edges(bands: DataFrame) -> DataFrame:
@@ -240,10 +274,7 @@ def near_pairs(df: DataFrame, key: str, text: Column, n: int = 3, threshold: flo
     least = named.groupBy("_class").agg(F.min("b").alias("a"), F.count("*").alias("_n"))
     copies = named.join(least.filter("_n > 1"), "_class").filter("a < b").select("a", "b", F.lit(1.0).alias("similarity"))
     pairs = checkpointed(_screened_pairs(df, key, text, n, threshold, least.select(F.col("a").alias(key))))
-    some = pairs.select(F.explode(F.array("a", "b")).alias("_k")).distinct()
-    own = df.join(some, F.col(key) == F.col("_k"), "left_semi").select(F.col(key).alias("_k"), plain.alias("_t"))
-    left, right = (own.select(F.col("_k").alias(x), F.col("_t").alias(f"t{x}")) for x in "ab")
-    scored = _similarities(pairs.join(left, "a").join(right, "b"), n)
+    scored = _similarities(pairs, df, key, text, n)
     found = scored.filter(F.col("similarity") >= threshold).unionByName(copies)
     return found.groupBy("a", "b").agg(F.max("similarity").alias("similarity"))  # keys may be repeated
 
