@@ -132,3 +132,13 @@ def test_pairs_of_large_groups_in_small_cells(spark, tmp_path, monkeypatch, cell
     edges = spark.createDataFrame([(a, b) for a in range(40) for b in range(a + 1, 40)], "a long, b long")
     keys = [r["n"] for r in dedup._cells(edges).select("cell", F.explode(F.array("a", "b")).alias("k")).groupBy("cell").agg(F.countDistinct("k").alias("n")).collect()]
     assert max(keys) <= max(8 * cell, 12) and (cell > 2 or sum(keys) < 2 * 780)
+
+
+def test_repeated_blocks_are_counted_without_copies(spark, tmp_path):
+    pick = random.Random(6)
+    block = "".join(pick.choices("abcé 字", k=30))
+    texts = [(block + "x" * (i % 3)) * (i % 5) + "".join(pick.choices("ab ", k=i * 9)) for i in range(30)] + ["aa" * 45, "a" * 89, "a" * 90, "é" * 120, "", "y" * 500 + block * 3, "z" * 7 + block * 3]
+    texts += ["".join(pick.choices("abcdefgh", k=at)) + block * 3 for at in (490, 500, 510)] + ["word " * 40, "one two three. " * 9]
+    own = docs(*texts)
+    assert agrees(spark, tmp_path, "repetition_flags", documents=own)
+    assert "exists(" not in plan(QUERIES["repetition_flags"](spark, str(tmp_path)))
