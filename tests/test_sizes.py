@@ -142,3 +142,19 @@ def test_repeated_blocks_are_counted_without_copies(spark, tmp_path):
     own = docs(*texts)
     assert agrees(spark, tmp_path, "repetition_flags", documents=own)
     assert "exists(" not in plan(QUERIES["repetition_flags"](spark, str(tmp_path)))
+
+
+def test_fits_of_the_search_run_side_by_side(spark, monkeypatch):
+    import threading
+
+    from pyspark.ml.clustering import KMeans
+
+    from corpusloom.operators import cluster
+
+    together = threading.Barrier(3, timeout=60)
+    fit = KMeans.fit
+    monkeypatch.setattr(KMeans, "fit", lambda self, df: (together.wait(), fit(self, df))[1])
+    pick = random.Random(3)
+    rows = [(i, [10.0 * (d == i % 4) + pick.gauss(0, 0.1) for d in range(4)]) for i in range(80)]
+    best, scores = cluster.best_k(spark.createDataFrame(rows, "i long, v array<double>"), "v", "i", 2, 6, 2)
+    assert best == 4 and sorted(scores) == [2, 4, 6]
